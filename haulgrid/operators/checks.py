@@ -162,11 +162,13 @@ def _as_rows(counted: DataFrame, checks: list[tuple[str, str, str, str]]) -> Dat
     return counted.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
-def row_rule_counts(mart: LoadMart) -> DataFrame:
-    """Failing rows of every row rule: one aggregate per table."""
+def row_rule_counts(mart: LoadMart, name: str | None = None) -> DataFrame:
+    """Failing rows of every row rule, or of those of one name: one aggregate per table."""
     tables, results = mart.tables(), []
     for model, rows in tables.items():
-        rules = [r for r in row_rules() if r.model == model]
+        rules = [r for r in row_rules() if r.model == model and name in (None, r.name)]
+        if not rules:
+            continue
         counted = rows.agg(*[F.count_if(r.broken).alias(f"c{i}") for i, r in enumerate(rules)])
         results.append(
             _as_rows(counted, [(r.name, r.model, r.column, r.severity) for r in rules])
@@ -178,7 +180,7 @@ def unique_counts(mart: LoadMart) -> DataFrame:
     """Duplicated values of every key column. The staged id counts for two checks at once."""
     tables, results = mart.tables(), []
     for model, column in UNIQUE.items():
-        names = ["unique"] + (["one_row_per_load"] if model == "stg_loads" else [])
+        names = ["unique", "one_row_per_load"] if model == "stg_loads" else ["unique"]
         counted = duplicated(tables[model], column).agg(F.count("*").alias("n")).select(
             *[F.col("n").alias(f"c{i}") for i in range(len(names))]
         )

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from haulgrid.sources.mart import LoadMart
 
@@ -25,21 +26,21 @@ def _sum_and_count(value: Column, name: str) -> dict[str, Column]:
     return {f"{name}_sum": F.sum(value), f"{name}_n": F.count(value)}
 
 
-PARTS: dict[str, Column] = {}
-
-
-def _define_parts() -> None:
-    PARTS["loads_n"] = F.count(F.lit(1))
-    PARTS["delivered_n"] = F.count_if(F.col("is_delivered"))
+def additive_parts() -> dict[str, Column]:
+    """Every part by name: counts and sums over loads."""
+    parts = {
+        "loads_n": F.count(F.lit(1)),
+        "delivered_n": F.count_if(F.col("is_delivered")),
+        **_sum_and_count(F.col("carrier_rating"), "carrier_rating"),
+    }
     for column in ("book_price", "pnl"):
-        PARTS.update(_sum_and_count(F.col(column), column))
-        PARTS.update(_sum_and_count(_delivered(column), f"delivered_{column}"))
-    PARTS.update(_sum_and_count(F.col("carrier_rating"), "carrier_rating"))
-    for flag in ("pickup", "delivery"):
-        value = F.col(f"carrier_on_time_to_{flag}").cast("int")
-        PARTS.update(_sum_and_count(value, f"on_time_{flag}"))
-    overall = F.col("carrier_on_time_overall").cast("int")
-    PARTS.update(_sum_and_count(overall, "on_time_overall"))
+        parts.update(_sum_and_count(F.col(column), column))
+        parts.update(_sum_and_count(_delivered(column), f"delivered_{column}"))
+    for flag, name in (("to_pickup", "pickup"), ("to_delivery", "delivery"),
+                       ("overall", "overall")):
+        value = F.col(f"carrier_on_time_{flag}").cast("int")
+        parts.update(_sum_and_count(value, f"on_time_{name}"))
+    return parts
 
 
 @dataclass(frozen=True)
@@ -122,17 +123,16 @@ def measured(
     fact date that the calendar is joined on. With ``how="left"`` loads without a member form a
     group of their own, as in a report; ``"inner"`` leaves them out.
     """
-    if not PARTS:
-        _define_parts()
     chosen = [MEASURES[m] for m in measures]
     parts = list(dict.fromkeys(p for m in chosen for p in m.parts))
+    known = additive_parts()
     lookups = list(_lookups(mart, [*by, *members_use], role))
     looked_up = {a for *_, wanted in lookups for a in wanted}
 
     facts = mart.facts if loads is None else mart.facts.where(loads)
     own = [a for a in by if a not in looked_up]
     keys = list(dict.fromkeys([fact_column for fact_column, *_ in lookups] + own))
-    sums = facts.groupBy(*keys).agg(*[PARTS[p].alias(p) for p in parts])
+    sums = facts.groupBy(*keys).agg(*[known[p].alias(p) for p in parts])
 
     if lookups:
         for fact_column, key, dimension, wanted in lookups:
@@ -151,8 +151,6 @@ def dense_rank_by(groups: DataFrame, value: str, rank: str) -> DataFrame:
     separate groups that add up to N loads have at most sqrt(2 N) distinct values: under a
     million for 10^11 loads, which is also why they may be broadcast.
     """
-    from pyspark.sql.window import Window as W
-
     levels = groups.select(value).distinct()
     ranks = levels.select(value, F.dense_rank().over(W.orderBy(F.desc(value))).alias(rank))
     return groups.join(F.broadcast(ranks), value)

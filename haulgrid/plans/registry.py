@@ -137,7 +137,7 @@ def _(m):
 
 @on_mart("p4_first_copy")
 def _(m):
-    return first_copy(m.raw, "load_id", ["quote_date", "book_date"]).select(
+    return first_copy(m.raw, "load_id", ["quote_date", "book_date"], m.repeated).select(
         "load_id", "quote_date", "book_date", "lane"
     )
 
@@ -299,10 +299,7 @@ def _(m):
 
 @on_mart("a7_distinct_loads")
 def _(m):
-    return m.facts.agg(
-        F.countDistinct("load_id").alias("distinct_loads"),
-        F.countDistinct("delivery_date").alias("distinct_days"),
-    )
+    return m.facts.agg(F.countDistinct("load_id").alias("distinct_loads"))
 
 
 @on_mart("a8_delivery_bounds")
@@ -425,22 +422,12 @@ on_mart("m6_load_facts")(lambda m: m.facts.select(*M.FACT_COLUMNS))
 # --- data quality --------------------------------------------------------------------------
 
 
-@on_mart("d1_not_null")
-def _(m):
-    return checks.row_rule_counts(m).where(F.col("check_name") == "not_null")
-
-
+on_mart("d1_not_null")(lambda m: checks.row_rule_counts(m, "not_null"))
 on_mart("d2_unique")(
     lambda m: checks.unique_counts(m).where(F.col("check_name") == "unique")
 )
 on_mart("d3_relationships")(checks.relationship_counts)
-
-
-@on_mart("d4_accepted_values")
-def _(m):
-    return checks.row_rule_counts(m).where(F.col("check_name") == "accepted_values")
-
-
+on_mart("d4_accepted_values")(lambda m: checks.row_rule_counts(m, "accepted_values"))
 on_mart("d5_one_row_per_load")(lambda m: checks.duplicated(m.staged, "load_id"))
 
 for _name, _check, _columns in (
@@ -527,7 +514,7 @@ MEASURE_QUERIES = {
     "b2_delivered_loads": ("delivered_loads", "carrier_name", "delivery_date", None),
     "b3_delivery_rate": ("delivery_rate", "carrier_name", "delivery_date", 6),
     "b4_total_book_price": ("total_book_price", "lane", "delivery_date", 2),
-    "b5_average_book_price": ("avg_book_price", "lane", "delivery_date", 6),
+    "b5_average_book_price": ("avg_book_price", "pickup_city", "delivery_date", 6),
     "b6_delivered_book_price": ("delivered_book_price", "shipper_name", "delivery_date", 2),
     "b7_delivered_average_price": (
         "delivered_avg_book_price", "delivery_state", "delivery_date", 6),

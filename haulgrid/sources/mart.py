@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from haulgrid.operators.dedupe import repeated_keys
 from haulgrid.plans import models
 from haulgrid.session import shared_folder
-from haulgrid.sources.tables import derive_raw_loads
+from haulgrid.sources.tables import derive_raw_loads, order_items
 
 PUBLISHED = ("dim_date", "dim_shipper", "dim_carrier", "dim_lane", "fct_loads")
 
@@ -35,14 +35,13 @@ class LoadMart:
         raw: Callable[[], DataFrame],
         root: str | None = None,
         built: dict[str, T.StructType] | None = None,
-        source: str | None = None,
+        lock=None,
     ):
         self.spark = spark
-        self.source = source
         self.root = root or f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
         self._raw = raw
         self._built = {} if built is None else built
-        self._lock = threading.RLock()
+        self._lock = lock or threading.RLock()
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -125,16 +124,28 @@ def open_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder}/{name}") for name in PUBLISHED}
 
 
-# (application, source folder) -> (root, schemas of the tables built so far)
-_MARTS: dict[tuple[str, str], tuple[str, dict[str, T.StructType]]] = {}
+class DerivedMart(LoadMart):
+    """The mart over raw loads that are derived from the given tables."""
+
+    def __init__(self, spark: SparkSession, source: str, root: str, built: dict, lock):
+        super().__init__(spark, self.derived_raw, root, built, lock)
+        self.source = source
+
+    def derived_raw(self) -> DataFrame:
+        items = self._table("order_items", lambda: order_items(self.spark, self.source))
+        return derive_raw_loads(self.spark, self.source, items)
+
+
+# (application, source folder) -> (root, schemas of the tables built so far, their lock)
+_MARTS: dict[tuple[str, str], tuple[str, dict[str, T.StructType], threading.RLock]] = {}
 _MARTS_LOCK = threading.Lock()
 
 
-def mart_for(spark: SparkSession, folder: str) -> LoadMart:
+def mart_for(spark: SparkSession, folder: str) -> DerivedMart:
     """The mart over the given tables in ``folder``, shared by all queries of an application."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
     with _MARTS_LOCK:
         if key not in _MARTS:
-            _MARTS[key] = (f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}", {})
-        root, built = _MARTS[key]
-    return LoadMart(spark, lambda: derive_raw_loads(spark, key[1]), root, built, key[1])
+            root = f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
+            _MARTS[key] = (root, {}, threading.RLock())
+        return DerivedMart(spark, key[1], *_MARTS[key])

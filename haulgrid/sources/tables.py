@@ -26,14 +26,22 @@ def stamp_text(moment: Column) -> Column:
     )
 
 
-def derive_raw_loads(spark: SparkSession, folder: str) -> DataFrame:
-    """The 31-column raw table, with its exact duplicates, from orders and their parties."""
-    items = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+def order_items(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order over its line items: carrier, first and last shipment, top price."""
+    return table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("suppkey"),
         F.min("l_shipdate").alias("first"),
         F.max("l_shipdate").alias("last"),
         F.max("l_extendedprice").alias("max_price"),
     )
+
+
+def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> DataFrame:
+    """The 31-column raw table, with its exact duplicates, from orders and their parties.
+
+    ``items`` is the written result of ``order_items``: read from disk, its side of the join is
+    shuffled as it is, and Spark can then split an order id that holds very many rows.
+    """
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", "n_name", F.substring("r_name", 1, 2).alias("state"))

@@ -324,8 +324,7 @@ _Q["a3_loads_by_equipment"] = (
     "SELECT equipment_type, count(*) AS total_loads FROM fct_loads GROUP BY equipment_type"
 )
 _Q["a7_distinct_loads"] = (
-    "SELECT count(DISTINCT load_id) AS distinct_loads, "
-    "count(DISTINCT delivery_date) AS distinct_days FROM fct_loads"
+    "SELECT count(DISTINCT load_id) AS distinct_loads FROM fct_loads"
 )
 _Q["a8_delivery_bounds"] = (
     "SELECT min(delivery_date) AS first_day, max(delivery_date) AS last_day FROM fct_loads"
