@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 # Fixed value: the name hashed for a missing shipper or carrier.
 UNKNOWN_MEMBER = "__unknown__"
 
-# Fixed value: month, day and hour of one or two digits, year of up to four.
-STAMP_SHAPE = r"^\s*\d{1,2}/\d{1,2}/\d{1,4}\s+\d{1,2}:\d{1,2}\s*\z"
+# Month, day, hour and minute of one or two digits, year of up to four; the plain
+# form with a single blank, and the loose one with any blanks around and between.
+PLAIN_STAMP = r"^\d{1,2}/\d{1,2}/\d{1,4} \d{1,2}:\d{1,2}\z"
+LOOSE_STAMP = r"^\s*\d{1,2}/\d{1,2}/\d{1,4}\s+\d{1,2}:\d{1,2}\s*\z"
 
 # Fixed value: what a well-formed lane looks like.
 LANE_SHAPE = r"^[^,]+,[A-Za-z]{2} -> [^,]+,[A-Za-z]{2}\z"
@@ -24,15 +26,17 @@ def whole_number(value: Column) -> Column:
     return F.bround(value.cast("double")).cast("int")
 
 
-def stamp_fields(text: Column) -> Column:
-    """The five number texts of a ``M/D/YYYY H:MM`` stamp, NULL when the shape does not fit."""
-    return F.when(text.rlike(STAMP_SHAPE), F.split(F.regexp_replace(text, r"^\s+", ""), r"[/\s:]+"))
-
-
-def stamp_from_fields(fields: Column) -> Column:
-    """Timestamp without zone from ``stamp_fields``; NULL for a date that does not exist."""
-    month, day, year, hour, minute = (F.get(fields, i).cast("int") for i in range(5))
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
+def stamp(text: Column) -> Column:
+    """Timestamp without zone from ``M/D/YYYY H:MM``; NULL for other shapes and for dates that
+    do not exist. The text is read as UTC and counted from the epoch, so that the session's
+    time zone, with its skipped and repeated hours, plays no part.
+    """
+    plain = F.when(text.rlike(PLAIN_STAMP), text).when(
+        text.rlike(LOOSE_STAMP), F.trim(F.regexp_replace(text, r"\s+", " "))
+    )
+    moment = F.try_to_timestamp(F.concat(plain, F.lit("Z")), F.lit("M/d/y H:mX"))
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return epoch + F.expr("INTERVAL '1' SECOND") * F.unix_seconds(moment)
 
 
 def lane_side(lane: Column, side: int) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulgrid.functions.cleaning import LANE_SHAPE
-from haulgrid.operators.dedupe import repeated_keys
+from haulgrid.operators.dedupe import few_keys
 from haulgrid.sources.landing import quoted
 
 
@@ -16,22 +16,23 @@ def shape(raw: DataFrame) -> DataFrame:
     )
 
 
-def duplicates(raw: DataFrame, key: str, repeated: DataFrame | None = None) -> DataFrame:
+def duplicates(raw: DataFrame, key: str, repeated: DataFrame) -> DataFrame:
     """Ids that occur more than once, and rows that repeat another row in full.
 
-    Equal rows share their id, so only rows of repeated ids are compared column by column.
+    Equal rows share their id, so if few ids are repeated only their rows are compared column
+    by column. Copies are counted before the shuffle, so many of one row are one there.
     """
-    marks = (repeated_keys(raw, key) if repeated is None else repeated).select(
-        F.col(key).alias("_repeated")
-    )
-    suspects = raw.join(marks, F.col(key).eqNullSafe(F.col("_repeated")), "left_semi")
+    suspects = raw
+    if few_keys(repeated):
+        marks = F.broadcast(repeated.select(F.col(key).alias("_repeated")))
+        suspects = raw.join(marks, F.col(key).eqNullSafe(F.col("_repeated")), "left_semi")
     copies = suspects.groupBy(*[quoted(c) for c in raw.columns]).agg(
         F.count("*").alias("_copies")
     )
-    ids = copies.groupBy(key).agg(F.sum(F.col("_copies") - 1).alias("_extra"))
-    return ids.agg(
+    ids = copies.groupBy(key).agg(F.sum("_copies").alias("_rows"), F.count("*").alias("_kinds"))
+    return ids.where(F.col("_rows") > 1).agg(
         F.count("*").alias("duplicated_ids"),
-        F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum(F.col("_rows") - F.col("_kinds")), F.lit(0)).alias("duplicate_rows"),
     )
 
 

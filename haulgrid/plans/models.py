@@ -68,12 +68,10 @@ FACT_COLUMNS = [
 
 def normalized(raw: DataFrame) -> DataFrame:
     """Typed and renamed columns; the repeated dotted column is left behind."""
-    # Each stamp is split once, in a projection of its own, and read five times in the next.
-    split = raw.withColumns({f"_{s}": C.stamp_fields(F.col(s)) for s in STAMPS})
-    return split.select(
+    return raw.select(
         F.col("load_id").cast("long").alias("load_id"),
         F.trim("lane").alias("lane"),
-        *[C.stamp_from_fields(F.col(f"_{s}")).alias(to) for s, to in STAMPS.items()],
+        *[C.stamp(F.col(text)).alias(to) for text, to in STAMPS.items()],
         *[F.col(c).cast("double").alias(c) for c in AMOUNTS],
         F.upper(F.trim("equipment_type")).alias("equipment_type"),
         *[C.blank_to_null(F.col(c)).alias(c)

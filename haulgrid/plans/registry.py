@@ -364,7 +364,7 @@ def _(m):
 @on_mart("f3_parsed_stamps")
 def _(m):
     stamps = {
-        to: C.stamp_from_fields(C.stamp_fields(F.col(column)))
+        to: C.stamp(F.col(column))
         for column, to in (("pickup_date", "pickup_at"), ("delivery_date", "delivered_at"))
     }
     return m.raw.select("load_id", *[value.alias(name) for name, value in stamps.items()])

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulgrid.operators.dedupe import repeated_keys
+from haulgrid.operators.skew import busiest_keys
 from haulgrid.plans import models
 from haulgrid.session import shared_folder
-from haulgrid.sources.tables import derive_raw_loads, order_items
+from haulgrid.sources.tables import derive_raw_loads, order_items, table
 
 PUBLISHED = ("dim_date", "dim_shipper", "dim_carrier", "dim_lane", "fct_loads")
 
@@ -132,8 +133,16 @@ class DerivedMart(LoadMart):
         self.source = source
 
     def derived_raw(self) -> DataFrame:
+        orders = table(self.spark, self.source, "orders")
+        # Written first: a table on disk has a known size, and its joins are plain shuffles.
         items = self._table("order_items", lambda: order_items(self.spark, self.source))
-        return derive_raw_loads(self.spark, self.source, items)
+        busy = {
+            key: self._table(f"busiest_{key}", lambda k=key: busiest_keys(orders, k))
+            for key in ("o_custkey", "o_orderkey")
+        }
+        return derive_raw_loads(
+            self.spark, self.source, items, busy["o_custkey"], busy["o_orderkey"]
+        )
 
 
 # (application, source folder) -> (root, schemas of the tables built so far, their lock)

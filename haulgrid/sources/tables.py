@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulgrid.operators.skew import over_salts, with_salt
 from haulgrid.sources.landing import RAW_COLUMNS, quoted
 
 
@@ -28,31 +29,53 @@ def stamp_text(moment: Column) -> Column:
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order over its line items: carrier, first and last shipment, top price."""
-    return table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+    items = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("suppkey"),
         F.min("l_shipdate").alias("first"),
         F.max("l_shipdate").alias("last"),
         F.max("l_extendedprice").alias("max_price"),
     )
+    carriers = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return items.join(carriers, F.col("suppkey") == F.col("s_suppkey"), "left").drop(
+        "suppkey", "s_suppkey"
+    )
 
 
-def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> DataFrame:
+def derive_raw_loads(
+    spark: SparkSession, folder: str, items: DataFrame, customers: DataFrame, orders: DataFrame
+) -> DataFrame:
     """The 31-column raw table, with its exact duplicates, from orders and their parties.
 
-    ``items`` is the written result of ``order_items``: read from disk, its side of the join is
-    shuffled as it is, and Spark can then split an order id that holds very many rows.
+    ``items`` is ``order_items``; ``customers`` and ``orders`` are the busiest customer and
+    order keys among the orders.
     """
+    placed = table(spark, folder, "orders")
+    placed = with_salt(placed, "o_custkey", customers, "_customer_salt")
+    placed = with_salt(placed, "o_orderkey", orders, "_order_salt")
+    shippers = over_salts(
+        table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey"),
+        "c_custkey", customers, "o_custkey", "_customer_salt",
+    ).withColumnRenamed("_customer_salt", "_shipper_salt")
+    shipped = over_salts(items, "l_orderkey", orders, "o_orderkey", "_items_salt")
+
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", "n_name", F.substring("r_name", 1, 2).alias("state"))
     pickup = places.toDF("pk", "pk_city", "pk_state")
     delivery = places.toDF("dk", "dk_city", "dk_state")
 
-    orders = (
-        table(spark, folder, "orders")
-        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(table(spark, folder, "supplier"), F.col("suppkey") == F.col("s_suppkey"), "left")
+    loads = (
+        placed.join(
+            shippers,
+            (F.col("o_custkey") == F.col("c_custkey"))
+            & (F.col("_customer_salt") == F.col("_shipper_salt")),
+        )
+        .join(
+            shipped,
+            (F.col("o_orderkey") == F.col("l_orderkey"))
+            & (F.col("_order_salt") == F.col("_items_salt")),
+            "left",
+        )
         .withColumn("dk", F.coalesce("s_nationkey", "c_nationkey"))
         .join(pickup, F.col("c_nationkey") == F.col("pk"))
         .join(delivery, "dk")
@@ -107,7 +130,7 @@ def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> Data
         "load_was_cancelled": k % 17 == 0,
         "has_mobile_app_tracking.1": F.lit(False),
     }
-    once = orders.select(
+    once = loads.select(
         *[values[name].cast(kind).alias(name) for name, kind in RAW_COLUMNS.items()]
     )
     copies = F.when(F.col("load_id") % 1000 == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(
