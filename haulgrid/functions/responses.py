@@ -16,7 +16,7 @@ WRITE_WORDS = (
 BLANK = r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # A word character is any letter, number or underscore, of any script.
 WORD = r"\p{L}\p{N}_"
-START, END = rf"(?<![{WORD}])", rf"(?![{WORD}])"
+START, END = rf"(?:\A|[^{WORD}])", rf"(?![{WORD}])"
 
 
 def stripped(text: Column) -> Column:
