@@ -18,8 +18,9 @@ def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
 
 
 def few_keys(repeated: DataFrame) -> bool:
-    """Is the table of repeated keys small enough to broadcast? Counts the written table."""
-    return repeated.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    """Is the table of repeated keys small enough to broadcast? Counts the written table, which
+    takes no more than the footers of its files."""
+    return repeated.count() <= BROADCAST_KEYS
 
 
 def first_copy(

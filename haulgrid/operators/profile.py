@@ -37,20 +37,25 @@ def duplicates(raw: DataFrame, key: str, repeated: DataFrame) -> DataFrame:
 
 
 def constant_columns(raw: DataFrame) -> DataFrame:
-    """Per column: does every row hold one and the same value? Compares least and greatest
-    value in one pass instead of counting distinct values of each column."""
-    found = raw.agg(*[
+    """Per column: does every row hold one and the same value? Counts in one pass the rows that
+    differ from any one row, instead of counting distinct values of each column."""
+    names = [c.replace(".", "_") for c in raw.columns]
+    plain = raw.toDF(*names)
+    sample = plain.limit(1).select(F.struct(*names).alias("row")).scalar()
+    differs = plain.agg(
+        F.count("*").alias("_rows"),
+        *[F.count_if(~F.col(c).eqNullSafe(sample.getField(c))).alias(c) for c in names],
+        sample.alias("_sample"),
+    )
+    entries = F.array(*[
         F.struct(
-            F.lit(c.replace(".", "_")).alias("column_name"),
-            F.coalesce(
-                (F.min(quoted(c)) == F.max(quoted(c))) & (F.count(quoted(c)) == F.count("*")),
-                F.lit(False),
-            ).alias("is_constant"),
-        ).alias(f"c{i}")
-        for i, c in enumerate(raw.columns)
+            F.lit(c).alias("column_name"),
+            ((F.col("_rows") > 0) & (F.col(c) == 0)
+             & F.col("_sample").getField(c).isNotNull()).alias("is_constant"),
+        )
+        for c in names
     ])
-    rows = F.array(*[f"c{i}" for i in range(len(raw.columns))])
-    return found.select(F.explode(rows).alias("r")).select("r.*")
+    return differs.select(F.explode(entries).alias("r")).select("r.*")
 
 
 def null_counts(rows: DataFrame) -> DataFrame:

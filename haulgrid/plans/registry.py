@@ -20,7 +20,7 @@ from haulgrid.plans import models as M
 from haulgrid.plans import questions as Q
 from haulgrid.plans import suite as K
 from haulgrid.sources.landing import read_loads_csv, write_loads_csv
-from haulgrid.sources.mart import LoadMart, mart_for, open_published
+from haulgrid.sources.mart import LoadMart, mart_for
 from haulgrid.sources.tables import derive_responses
 
 # Parameters of the questions on the given tables.
@@ -83,7 +83,7 @@ def _(m):
     m.publish(folder)
     counts = [
         rows.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
-        for name, rows in open_published(m.spark, folder).items()
+        for name, rows in LoadMart.reopen(m.spark, folder).published().items()
     ]
     first, *others = counts
     for other in others:

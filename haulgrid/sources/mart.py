@@ -9,6 +9,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,27 @@ from haulgrid.operators.dedupe import repeated_keys
 from haulgrid.operators.skew import busiest_keys
 from haulgrid.plans import models
 from haulgrid.session import shared_folder
+from haulgrid.sources.landing import read_loads_csv
 from haulgrid.sources.tables import derive_raw_loads, order_items, table
 
-PUBLISHED = ("dim_date", "dim_shipper", "dim_carrier", "dim_lane", "fct_loads")
-
 # Facts are laid out by delivery year and sorted by delivery date inside each file, so a
 # date range reads one directory and skips the pages outside the range.
 FACT_PARTITION = "delivery_year"
 
 
+@contextmanager
+def compiled_in_full(spark: SparkSession):
+    """Keep the JVM compiling wide projections: it leaves methods of more than 8000 bytes to the
+    interpreter, so Spark is told to split what would generate a larger one."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class LoadMart:
     """Raw, staged and modeled tables over one source of raw loads, built on first use."""
 
@@ -64,7 +77,8 @@ class LoadMart:
                 .write.mode("overwrite")
                 .partitionBy(FACT_PARTITION)
             )
-        writer.parquet(path)
+        with compiled_in_full(self.spark):
+            writer.parquet(path)
 
     @property
     def raw(self) -> DataFrame:
@@ -103,10 +117,9 @@ class LoadMart:
             ),
         )
 
-    def tables(self) -> dict[str, DataFrame]:
-        """The staged table and the five published ones, by name."""
+    def published(self) -> dict[str, DataFrame]:
+        """The five modeled tables by name."""
         return {
-            "stg_loads": self.staged,
             "dim_date": self.calendar,
             "dim_shipper": self.shippers,
             "dim_carrier": self.carriers,
@@ -114,15 +127,32 @@ class LoadMart:
             "fct_loads": self.facts,
         }
 
+    def tables(self) -> dict[str, DataFrame]:
+        """The staged table and the modeled ones, by name."""
+        return {"stg_loads": self.staged, **self.published()}
+
     def publish(self, folder: str) -> None:
         """Rebuild the five modeled tables in a folder of the caller's."""
-        for name in PUBLISHED:
-            self._write(name, self.tables()[name], f"{folder}/{name}")
-
-
-def open_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Read published tables back."""
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in PUBLISHED}
+        for name, rows in self.published().items():
+            self._write(name, rows, f"{folder}/{name}")
+
+    @classmethod
+    def from_csv(
+        cls, spark: SparkSession, path: str, root: str | None = None, id_column: str = "load_id"
+    ) -> LoadMart:
+        """A mart over headered load files; tables are built under ``root`` when first used."""
+        return cls(spark, lambda: read_loads_csv(spark, path, id_column), root)
+
+    @classmethod
+    def reopen(cls, spark: SparkSession, folder: str) -> LoadMart:
+        """A mart over published tables, for all that needs only the modeled ones."""
+
+        def unavailable() -> DataFrame:
+            raise ValueError(f"raw and staged loads are not among the tables in {folder}")
+
+        names = ("dim_date", "dim_shipper", "dim_carrier", "dim_lane", "fct_loads")
+        built = {name: spark.read.parquet(f"{folder}/{name}").schema for name in names}
+        return cls(spark, unavailable, folder, built)
 
 
 class DerivedMart(LoadMart):

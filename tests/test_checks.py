@@ -111,3 +111,7 @@ def test_constant_columns(spark):
     assert flags["has_mobile_app_tracking_1"] and not flags["pnl"]
     assert not flags["carrier_name"] and flags["shipper_name"]
     assert len(flags) == 31
+    empty = profile.constant_columns(raw.where("load_id < 0")).collect()
+    assert len(empty) == 31 and not any(r.is_constant for r in empty)
+    none = profile.constant_columns(raw_rows(spark, *[{"carrier_name": None}] * 3)).collect()
+    assert {r.column_name for r in none if not r.is_constant} == {"load_id", "carrier_name"}
