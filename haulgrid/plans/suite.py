@@ -55,41 +55,45 @@ def run_questions(
     """Run every question and log it; a failing one is logged as an error and the rest go on.
 
     Answers are rows of JSON under ``answers/<id>``, written where they are computed. A bounded
-    answer also stands in its log entry as one array. Returns the log.
+    answer also stands in its log entry as one array. Returns the log. A later run in the same
+    folder replaces the answers and entries of its questions.
     """
     spark = mart.spark
-    for item in QUESTIONS if questions is None else questions:
+    asked = QUESTIONS if questions is None else questions
+    for item in asked:
         entry = {"id": item.id, "question": item.text, "notes": item.notes}
         try:
             path = f"{folder}/answers/{item.id}"
             answer = item.build(mart)
-            answer.select(F.to_json(F.struct("*")).alias("value")).write.mode(
-                "overwrite"
-            ).text(path)
+            record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+            answer.select(record.alias("value")).write.mode("overwrite").text(path)
             rows = spark.read.text(path)
             array = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
             log = rows.agg(
                 F.count("*").alias("answer_rows"),
                 (array if item.bounded else F.lit(None).cast("string")).alias("answer"),
             ).withColumn("status", F.lit("success"))
-            _append(log, entry, folder)
+            _enter(log, entry, folder)
         except Exception as failure:  # noqa: BLE001 - the run goes on whatever went wrong
             log = spark.range(1).select(
                 F.lit("error").alias("status"),
                 F.lit(type(failure).__name__).alias("error"),
                 F.lit(str(failure)).alias("error_message"),
             )
-            _append(log, entry, folder)
-    return read_log(spark, folder)
+            _enter(log, entry, folder)
+    return read_log(spark, folder, [item.id for item in asked])
 
 
-def _append(log: DataFrame, entry: dict[str, str], folder: str) -> None:
+def _enter(log: DataFrame, entry: dict[str, str], folder: str) -> None:
     columns = {name: F.lit(value) for name, value in entry.items()}
-    log.withColumns(columns).write.mode("append").json(f"{folder}/log")
+    log.withColumns(columns).write.mode("overwrite").option("ignoreNullFields", False).json(
+        f"{folder}/log/{entry['id']}"
+    )
 
 
-def read_log(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).json(f"{folder}/log")
+def read_log(spark: SparkSession, folder: str, ids: list[str]) -> DataFrame:
+    """The entries of some questions."""
+    return spark.read.schema(LOG_SCHEMA).json([f"{folder}/log/{i}" for i in ids])
 
 
 def log_responses(responses: DataFrame, folder: str) -> None:

@@ -55,16 +55,20 @@ class LoadMart:
         self.root = root or f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
         self._raw = raw
         self._built = {} if built is None else built
+        self._frames: dict[str, DataFrame] = {}
         self._lock = lock or threading.RLock()
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table, built if need be. Its frame is kept, and with it the list of its files."""
         path = f"{self.root}/{name}"
         with self._lock:
             if name not in self._built:
                 rows = build()
                 self._write(name, rows, path)
                 self._built[name] = rows.schema
-        return self.spark.read.schema(self._built[name]).parquet(path)
+            if name not in self._frames:
+                self._frames[name] = self.spark.read.schema(self._built[name]).parquet(path)
+            return self._frames[name]
 
     def _write(self, name: str, rows: DataFrame, path: str) -> None:
         writer = rows.write.mode("overwrite")
@@ -175,16 +179,20 @@ class DerivedMart(LoadMart):
         )
 
 
-# (application, source folder) -> (root, schemas of the tables built so far, their lock)
-_MARTS: dict[tuple[str, str], tuple[str, dict[str, T.StructType], threading.RLock]] = {}
+# (application, source folder) -> the mart last used there
+_MARTS: dict[tuple[str, str], DerivedMart] = {}
 _MARTS_LOCK = threading.Lock()
 
 
 def mart_for(spark: SparkSession, folder: str) -> DerivedMart:
-    """The mart over the given tables in ``folder``, shared by all queries of an application."""
+    """The mart over the given tables in ``folder``, shared by all queries of an application.
+    Another session of the application reads the same built tables through a mart of its own."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
     with _MARTS_LOCK:
-        if key not in _MARTS:
+        known = _MARTS.get(key)
+        if known is None:
             root = f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
-            _MARTS[key] = (root, {}, threading.RLock())
-        return DerivedMart(spark, key[1], *_MARTS[key])
+            _MARTS[key] = DerivedMart(spark, key[1], root, {}, threading.RLock())
+        elif known.spark is not spark:
+            _MARTS[key] = DerivedMart(spark, key[1], known.root, known._built, known._lock)
+        return _MARTS[key]

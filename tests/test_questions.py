@@ -158,3 +158,11 @@ def test_a_failing_question_does_not_stop_the_others(spark, tmp_path):
     assert entries["q6"].answer_rows == 1
     counts = {r.status: r.runs for r in K.status_counts(log).collect()}
     assert counts == {"error": 1, "success": 2}
+
+
+def test_a_question_run_again_replaces_its_entry(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    K.run_questions(mart_of(spark, tmp_path / "a", {}), folder, [K.QUESTIONS[1]])
+    unnamed = mart_of(spark, tmp_path / "b", {"shipper_name": None, "book_price": 5.0})
+    log = K.run_questions(unnamed, folder, [K.QUESTIONS[1]]).collect()
+    assert [r.answer for r in log] == ['[{"shipper_name":null,"total_book_price":5.0}]']
