@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulgrid.functions.cleaning import LANE_SHAPE
+from haulgrid.operators.skew import looked_up
 from haulgrid.plans.models import ROLES
 from haulgrid.sources.mart import LoadMart
 
@@ -146,7 +147,10 @@ def haul_type_mismatches(facts: DataFrame, lanes: DataFrame) -> DataFrame:
 def haul_type_mismatch_loads(facts: DataFrame, lanes: DataFrame) -> DataFrame:
     """The loads themselves whose haul type differs from their lane's."""
     said = lanes.select(F.col("lane_key"), F.col("haul_type").alias("lane_haul_type"))
-    return facts.join(said, "lane_key").where(F.col("haul_type") != F.col("lane_haul_type"))
+    loads = facts.select("load_id", "lane_key", "haul_type")
+    return looked_up(loads, ("lane_key", said, "inner")).where(
+        F.col("haul_type") != F.col("lane_haul_type")
+    )
 
 
 def _as_rows(counted: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFrame:

@@ -1,16 +1,13 @@
-"""Lookups by a key that may hold a large share of all rows.
-
-Adaptive execution splits a large partition by its size in bytes, which equal or similar rows
-hide: they compress well, so a group of copies looks small. Here the busiest keys are found by
-counting, and their rows are spread over as many salts as there are shuffle partitions; only
-the few lookup rows of those keys are repeated per salt. The result is that of the plain join.
-"""
+"""Row-by-row lookups by keys that may hold a large share of all rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A lookup of up to so many rows is broadcast; the rows are counted first.
+BROADCAST_ROWS = 100_000
+
 # Keys that get salts. A key outside the 64 busiest holds less than 1/64 of all rows.
 BUSIEST = 64
 
@@ -21,35 +18,51 @@ def busiest_keys(rows: DataFrame, key: str) -> DataFrame:
     return counts.orderBy(F.desc("n"), key).limit(BUSIEST).select(key)
 
 
-def _salts(rows: DataFrame) -> int:
-    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _marked(rows: DataFrame, key: str, busiest: DataFrame) -> tuple[DataFrame, Column]:
     # The limit in busiest_keys bounds what is broadcast.
-    mark = f"_busy_{key}"
-    marks = F.broadcast(busiest.select(F.col(key).alias(mark)))
-    return rows.join(marks, F.col(key) == F.col(mark), "left"), F.col(mark).isNotNull()
-
+    marks = F.broadcast(busiest.select(F.col(key).alias("_busy")))
+    return rows.join(marks, F.col(key) == F.col("_busy"), "left"), F.col("_busy").isNotNull()
 
-def with_salt(rows: DataFrame, key: str, busiest: DataFrame, salt: str) -> DataFrame:
-    """Add a salt: any of the salts for rows of a busy key, 0 for all others.
 
-    Call it on rows as they are scanned: a scan returns rows in the same order when a task is
-    run again, so the seeded numbers, and with them the shuffle output, are the same too.
-    """
+def with_salt(rows: DataFrame, key: str, busiest: DataFrame, salt: str, salts: int) -> DataFrame:
+    """Add a salt: any of the salts for rows of a busy or missing key, 0 for all others."""
     marked, busy = _marked(rows, key, busiest)
-    drawn = F.floor(F.rand(seed=1) * _salts(rows)).cast("int")
-    return marked.withColumn(salt, F.when(busy, drawn).otherwise(F.lit(0))).drop(f"_busy_{key}")
+    drawn = F.floor(F.rand(seed=1) * salts).cast("int")
+    spread = busy | F.col(key).isNull()
+    return marked.withColumn(salt, F.when(spread, drawn).otherwise(F.lit(0))).drop("_busy")
+
+
+def over_salts(
+    lookup: DataFrame, key: str, busiest: DataFrame, salt: str, salts: int
+) -> DataFrame:
+    """Lookup rows for a salted join: those of busy keys once per salt, all others once."""
+    marked, busy = _marked(lookup, key, busiest)
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    one = F.array(F.lit(0))
+    return marked.withColumn(salt, F.explode(F.when(busy, every).otherwise(one))).drop("_busy")
+
 
+def looked_up(rows: DataFrame, *lookups: tuple[str, DataFrame, str]) -> DataFrame:
+    """Join rows to one lookup after the other; each is (key, lookup, join type).
 
-def over_salts(lookup: DataFrame, key: str, busiest: DataFrame, name: str, salt: str) -> DataFrame:
-    """Lookup rows for a salted join: busy keys once per salt, all others once.
+    A small lookup is broadcast. For a large one the rows of the busiest keys are spread over as
+    many salts as there are shuffle partitions, and only the lookup rows of those keys are
+    repeated; the result is that of the plain join. Adaptive execution alone would not do: it
+    finds hot partitions by their bytes, and copies or similar rows compress well.
 
-    ``name`` is the key's column in ``busiest``.
+    Call it on rows as they are scanned. All salts are drawn before the first shuffle, where a
+    task that is run again sees its rows in the same order and draws the same numbers.
     """
-    marked, busy = _marked(lookup, key, busiest.select(F.col(name).alias(key)))
-    salts = F.when(busy, F.sequence(F.lit(0), F.lit(_salts(lookup) - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    return marked.withColumn(salt, F.explode(salts)).drop(f"_busy_{key}")
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = [lookup.count() <= BROADCAST_ROWS for _, lookup, _ in lookups]
+    busiest = {key: busiest_keys(rows, key) for (key, *_), few in zip(lookups, small) if not few}
+    for key, busy in busiest.items():
+        rows = with_salt(rows, key, busy, f"_salt_{key}", salts)
+    for (key, lookup, how), few in zip(lookups, small):
+        if few:
+            rows = rows.join(F.broadcast(lookup), key, how)
+        else:
+            salt = f"_salt_{key}"
+            spread = over_salts(lookup, key, busiest[key], salt, salts)
+            rows = rows.join(spread, [key, salt], how).drop(salt)
+    return rows

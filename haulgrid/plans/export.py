@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulgrid.functions.cleaning import month_of
+from haulgrid.operators.skew import looked_up
 from haulgrid.plans.questions import delivered, delivered_between, latest_month
 from haulgrid.sources.landing import CSV_OPTIONS
 from haulgrid.sources.mart import LoadMart
@@ -39,17 +40,21 @@ def in_month(facts: DataFrame, month: Column) -> DataFrame:
     return facts.where(delivered() & delivered_between(month, F.add_months(month, 1)))
 
 
+def with_members(mart: LoadMart, loads: DataFrame) -> DataFrame:
+    """Loads with the names and places of their shipper, carrier and lane."""
+    return looked_up(
+        loads,
+        ("shipper_key", mart.shippers, "left"),
+        ("carrier_key", mart.carriers, "left"),
+        ("lane_key", mart.lanes.drop("haul_type"), "left"),
+    )
+
+
 def latest_month_loads(mart: LoadMart) -> DataFrame:
     """Nine columns per delivered load of the latest month, by date and id. The month may be
     incomplete, and is the latest of all loads, delivered or not."""
     loads = in_month(mart.facts, _latest(mart.facts))
-    return (
-        loads.join(mart.shippers, "shipper_key", "left")
-        .join(mart.carriers, "carrier_key", "left")
-        .join(mart.lanes.drop("haul_type"), "lane_key", "left")
-        .select(*EXPORT_COLUMNS)
-        .orderBy("delivery_date", "load_id")
-    )
+    return with_members(mart, loads).select(*EXPORT_COLUMNS).orderBy("delivery_date", "load_id")
 
 
 def export_validation(mart: LoadMart, month: dt.date | None = None) -> DataFrame:

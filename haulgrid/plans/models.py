@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulgrid.functions import cleaning as C
 from haulgrid.operators.dedupe import first_copy
+from haulgrid.operators.skew import looked_up
 from haulgrid.sources.landing import quoted
 
 # Raw text column -> staged timestamp.
@@ -165,17 +166,15 @@ def facts_by_lookup(
     staged: DataFrame, shippers: DataFrame, carriers: DataFrame, lanes: DataFrame
 ) -> DataFrame:
     """Keys of each load by left joins to the dimensions on the computed key."""
-    s, c, ln = (
-        d.select(F.col(k).alias(f"_{k}"))
-        for d, k in ((shippers, "shipper_key"), (carriers, "carrier_key"), (lanes, "lane_key"))
-    )
-    facts = load_facts(staged)
-    return (
-        facts.join(s, F.col("shipper_key") == F.col("_shipper_key"), "left")
-        .join(c, F.col("carrier_key") == F.col("_carrier_key"), "left")
-        .join(ln, F.col("lane_key") == F.col("_lane_key"), "left")
-        .select("load_id", *[F.col(f"_{k}").alias(k)
-                             for k in ("shipper_key", "carrier_key", "lane_key")])
+
+    def found(dimension: DataFrame, key: str) -> DataFrame:
+        return dimension.select(key, F.col(key).alias(f"_{key}"))
+
+    keys = ("shipper_key", "carrier_key", "lane_key")
+    loads = load_facts(staged).select("load_id", *keys)
+    dimensions = zip(keys, (shippers, carriers, lanes))
+    return looked_up(loads, *[(k, found(d, k), "left") for k, d in dimensions]).select(
+        "load_id", *[F.col(f"_{k}").alias(k) for k in keys]
     )
 
 

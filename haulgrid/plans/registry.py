@@ -245,11 +245,8 @@ def _(m):
 
 @on_mart("j4_named_loads")
 def _(m):
-    return (
-        m.facts.join(m.shippers, "shipper_key", "left")
-        .join(m.carriers, "carrier_key", "left")
-        .join(m.lanes.drop("haul_type"), "lane_key", "left")
-        .select("load_id", "shipper_name", "carrier_name", "lane", "delivery_city")
+    return X.with_members(m, m.facts).select(
+        "load_id", "shipper_name", "carrier_name", "lane", "delivery_city"
     )
 
 

@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulgrid.operators.dedupe import repeated_keys
-from haulgrid.operators.skew import busiest_keys
 from haulgrid.plans import models
 from haulgrid.session import shared_folder
 from haulgrid.sources.landing import read_loads_csv
-from haulgrid.sources.tables import derive_raw_loads, order_items, table
+from haulgrid.sources.tables import derive_raw_loads, order_items
 
 # Facts are laid out by delivery year and sorted by delivery date inside each file, so a
 # date range reads one directory and skips the pages outside the range.
@@ -167,16 +166,9 @@ class DerivedMart(LoadMart):
         self.source = source
 
     def derived_raw(self) -> DataFrame:
-        orders = table(self.spark, self.source, "orders")
-        # Written first: a table on disk has a known size, and its joins are plain shuffles.
+        # Written first: it is then counted, and looked up, without being aggregated again.
         items = self._table("order_items", lambda: order_items(self.spark, self.source))
-        busy = {
-            key: self._table(f"busiest_{key}", lambda k=key: busiest_keys(orders, k))
-            for key in ("o_custkey", "o_orderkey")
-        }
-        return derive_raw_loads(
-            self.spark, self.source, items, busy["o_custkey"], busy["o_orderkey"]
-        )
+        return derive_raw_loads(self.spark, self.source, items)
 
 
 # (application, source folder) -> the mart last used there

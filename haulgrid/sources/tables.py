@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrid.operators.skew import over_salts, with_salt
+from haulgrid.operators.skew import looked_up
 from haulgrid.sources.landing import RAW_COLUMNS, quoted
 
 
@@ -41,23 +41,14 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def derive_raw_loads(
-    spark: SparkSession, folder: str, items: DataFrame, customers: DataFrame, orders: DataFrame
-) -> DataFrame:
+def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> DataFrame:
     """The 31-column raw table, with its exact duplicates, from orders and their parties.
 
-    ``items`` is ``order_items``; ``customers`` and ``orders`` are the busiest customer and
-    order keys among the orders.
+    ``items`` is ``order_items``.
     """
-    placed = table(spark, folder, "orders")
-    placed = with_salt(placed, "o_custkey", customers, "_customer_salt")
-    placed = with_salt(placed, "o_orderkey", orders, "_order_salt")
-    shippers = over_salts(
-        table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey"),
-        "c_custkey", customers, "o_custkey", "_customer_salt",
-    ).withColumnRenamed("_customer_salt", "_shipper_salt")
-    shipped = over_salts(items, "l_orderkey", orders, "o_orderkey", "_items_salt")
-
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"
+    )
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", "n_name", F.substring("r_name", 1, 2).alias("state"))
@@ -65,16 +56,10 @@ def derive_raw_loads(
     delivery = places.toDF("dk", "dk_city", "dk_state")
 
     loads = (
-        placed.join(
-            shippers,
-            (F.col("o_custkey") == F.col("c_custkey"))
-            & (F.col("_customer_salt") == F.col("_shipper_salt")),
-        )
-        .join(
-            shipped,
-            (F.col("o_orderkey") == F.col("l_orderkey"))
-            & (F.col("_order_salt") == F.col("_items_salt")),
-            "left",
+        looked_up(
+            table(spark, folder, "orders"),
+            ("o_custkey", customers, "inner"),
+            ("o_orderkey", items.withColumnRenamed("l_orderkey", "o_orderkey"), "left"),
         )
         .withColumn("dk", F.coalesce("s_nationkey", "c_nationkey"))
         .join(pickup, F.col("c_nationkey") == F.col("pk"))

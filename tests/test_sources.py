@@ -3,7 +3,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from haulgrid.operators.skew import busiest_keys, over_salts, with_salt
+from haulgrid.operators.skew import busiest_keys, looked_up, with_salt
 from haulgrid.sources.landing import RAW_COLUMNS, read_loads_csv, write_loads_csv
 from haulgrid.plans.questions import top_lanes
 from haulgrid.sources.mart import LoadMart
@@ -79,22 +79,27 @@ def test_tables_are_built_once(spark, tmp_path):
     assert m.staged.count() == m.shippers.count() == 1
 
 
+@pytest.mark.parametrize("limit", [100_000, 0])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_the_plain_one(spark, how):
+def test_lookups_equal_plain_joins(spark, monkeypatch, how, limit):
+    monkeypatch.setattr("haulgrid.operators.skew.BROADCAST_ROWS", limit)
     rows = spark.range(5000).select(
-        "id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k")
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"),
+        F.when(F.col("id") % 4 != 0, F.col("id") % 90).alias("j"),
     )
-    lookup = spark.range(400).select(F.col("id").alias("lk"), (F.col("id") * 10).alias("v"))
-    lookup = lookup.union(lookup.where("lk = 7"))
-    busy = busiest_keys(rows, "k")
-    salted = with_salt(rows, "k", busy, "s").join(
-        over_salts(lookup, "lk", busy, "k", "t"), F.expr("k = lk AND s = t"), how
-    ).select("id", "k", "v")
-    plain = rows.join(lookup, F.expr("k = lk"), how).select("id", "k", "v")
+    first = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    first = first.union(first.where("k = 7"))
+    second = spark.range(60).select(F.col("id").alias("j"), (-F.col("id")).alias("w"))
+    second = second.union(spark.sql("SELECT CAST(NULL AS BIGINT), 1L"))
+    columns = ["id", "k", "j", "v", "w"]
+    salted = looked_up(rows, ("k", first, how), ("j", second, "left")).select(*columns)
+    plain = rows.join(first, "k", how).join(second, "j", "left").select(*columns)
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
 
-def test_busy_key_is_spread(spark):
-    rows = spark.range(8000).select(F.lit(7).alias("k"))
-    salts = with_salt(rows, "k", busiest_keys(rows, "k"), "s").groupBy("s").count().collect()
-    assert len(salts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+@pytest.mark.parametrize("key", [7, None])
+def test_busy_and_missing_keys_are_spread(spark, key):
+    rows = spark.range(8000).select(F.lit(key).cast("int").alias("k"))
+    salted = with_salt(rows, "k", busiest_keys(rows, "k"), "s", 16)
+    assert salted.groupBy("s").count().count() == 16
