@@ -27,44 +27,49 @@ def stamp_text(moment: Column) -> Column:
     )
 
 
+def parties(spark: SparkSession, folder: str, name: str, side: str) -> DataFrame:
+    """Customers or suppliers with key, name, nation key, city and state, under a prefix."""
+    letter = name[0]
+    places = table(spark, folder, "nation").join(
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    keys = [f"{letter}_{name[:4]}key", f"{letter}_name", f"{letter}_nationkey"]
+    return (
+        table(spark, folder, name)
+        .join(places, F.col(keys[2]) == F.col("n_nationkey"), "left")
+        .select(*keys, "n_name", F.substring("r_name", 1, 2))
+        .toDF(*[f"{side}_{c}" for c in ("key", "name", "nation", "city", "state")])
+    )
+
+
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order over its line items: carrier, first and last shipment, top price."""
     items = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.min("l_suppkey").alias("suppkey"),
+        F.min("l_suppkey").alias("carrier_key"),
         F.min("l_shipdate").alias("first"),
         F.max("l_shipdate").alias("last"),
         F.max("l_extendedprice").alias("max_price"),
     )
-    carriers = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return items.join(carriers, F.col("suppkey") == F.col("s_suppkey"), "left").drop(
-        "suppkey", "s_suppkey"
-    )
+    carriers = parties(spark, folder, "supplier", "carrier")
+    return items.join(carriers, "carrier_key", "left").drop("carrier_key")
 
 
 def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> DataFrame:
     """The 31-column raw table, with its exact duplicates, from orders and their parties.
 
-    ``items`` is ``order_items``.
+    ``items`` is ``order_items``. Places are part of the looked-up parties, so that the loads
+    themselves are joined twice only.
     """
-    customers = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"
-    )
-    places = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("n_nationkey", "n_name", F.substring("r_name", 1, 2).alias("state"))
-    pickup = places.toDF("pk", "pk_city", "pk_state")
-    delivery = places.toDF("dk", "dk_city", "dk_state")
-
-    loads = (
-        looked_up(
-            table(spark, folder, "orders"),
-            ("o_custkey", customers, "inner"),
-            ("o_orderkey", items.withColumnRenamed("l_orderkey", "o_orderkey"), "left"),
-        )
-        .withColumn("dk", F.coalesce("s_nationkey", "c_nationkey"))
-        .join(pickup, F.col("c_nationkey") == F.col("pk"))
-        .join(delivery, "dk")
+    shippers = parties(spark, folder, "customer", "shipper")
+    loads = looked_up(
+        table(spark, folder, "orders"),
+        ("o_custkey", shippers.withColumnRenamed("shipper_key", "o_custkey"), "inner"),
+        ("o_orderkey", items.withColumnRenamed("l_orderkey", "o_orderkey"), "left"),
     )
+    carried = F.col("carrier_nation").isNotNull()
+    pickup = {c: F.col(f"shipper_{c}") for c in ("nation", "city", "state")}
+    delivery = {c: F.when(carried, F.col(f"carrier_{c}")).otherwise(pickup[c]) for c in pickup}
+    loads = loads.where(pickup["city"].isNotNull() & delivery["city"].isNotNull())
 
     k = F.col("o_orderkey")
     first, last, ordered = F.col("first"), F.col("last"), F.col("o_orderdate")
@@ -75,8 +80,8 @@ def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> Data
         "load_id": k,
         "lane": F.when(k % 2500 == 7, F.lit("BADLANE")).otherwise(
             F.concat(
-                F.lit(" "), "pk_city", F.lit(","), "pk_state", F.lit(" -> "),
-                "dk_city", F.lit(","), F.lower("dk_state"), F.lit(" "),
+                F.lit(" "), pickup["city"], F.lit(","), pickup["state"], F.lit(" -> "),
+                delivery["city"], F.lit(","), F.lower(delivery["state"]), F.lit(" "),
             )
         ),
         "quote_date": stamp_text(ordered - F.expr("INTERVAL 2 DAYS")),
@@ -92,15 +97,15 @@ def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> Data
         .otherwise(max_price),
         "pnl": F.round(F.col("o_totalprice") - max_price * 3, 2),
         "mileage": F.when(k % 29 == 0, F.lit(0)).otherwise(
-            F.abs(F.col("pk") - F.col("dk")) * 100
+            F.abs(pickup["nation"] - delivery["nation"]) * 100
         ),
         "equipment_type": F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit(" ")),
         "carrier_rating": F.when(k % 7 == 0, k % 6),
         "sourcing_channel": F.when(k % 20 == 0, F.lit("api")).otherwise(F.lit("  ")),
         "vip_carrier": k % 3 == 0,
         "carrier_dropped_us_count": k % 4,
-        "carrier_name": F.when(k % 13 == 0, F.lit(" ")).otherwise(F.col("s_name")),
-        "shipper_name": F.col("c_name"),
+        "carrier_name": F.when(k % 13 == 0, F.lit(" ")).otherwise(F.col("carrier_name")),
+        "shipper_name": F.col("shipper_name"),
         "carrier_on_time_to_pickup": on_pickup,
         "carrier_on_time_to_delivery": on_delivery,
         "carrier_on_time_overall": on_pickup & on_delivery,
