@@ -105,6 +105,12 @@ def _lookups(mart: LoadMart, attributes: Sequence[str], role: str):
             yield fact_column, key, dimension(), wanted
 
 
+def _added_up(part: str) -> Column:
+    """Sum of partial parts; a count over no rows at all is 0, as it is when counted directly."""
+    total = F.sum(part)
+    return F.coalesce(total, F.lit(0)) if part.endswith("_n") else total
+
+
 def measured(
     mart: LoadMart,
     measures: Sequence[str],
@@ -140,7 +146,7 @@ def measured(
             sums = sums.join(member, F.col(fact_column) == F.col("_key"), how).drop("_key")
         if members is not None:
             sums = sums.where(members)
-        sums = sums.groupBy(*by).agg(*[F.sum(p).alias(p) for p in parts])
+        sums = sums.groupBy(*by).agg(*[_added_up(p).alias(p) for p in parts])
     return sums.select(*by, *[m.value() for m in chosen])
 
 

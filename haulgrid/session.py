@@ -7,14 +7,16 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings for a large cluster. The partition count is only the starting point: adaptive
-# execution merges small shuffle partitions and splits skewed ones at run time.
+# Settings for a large cluster and some 100 TB of raw loads. Only deriving loads and laying out
+# the fact shuffle whole rows: about 1 to 3 GB for each of the partitions, which spill to disk.
+# Everything else shuffles sums, and adaptive execution merges what is small. Large scan
+# splits keep the number of shuffle blocks (scan tasks times partitions) in bounds.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "32000",
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.session.timeZone": "UTC",
 }
 

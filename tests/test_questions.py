@@ -105,6 +105,9 @@ def test_measures_of_no_loads(spark, tmp_path):
     row = measured(m, ["total_loads", "delivery_rate", "total_pnl"],
                    loads=F.col("load_id") < 0).first()
     assert tuple(row) == (0, None, None)
+    row = measured(m, ["total_loads", "avg_book_price"], how="inner",
+                   members=F.col("lane") == "none", members_use=["lane"]).first()
+    assert tuple(row) == (0, None)
 
 
 def test_dense_rank(spark, tmp_path):
