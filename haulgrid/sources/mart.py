@@ -25,18 +25,23 @@ from haulgrid.sources.tables import derive_raw_loads, order_items
 # date range reads one directory and skips the pages outside the range.
 FACT_PARTITION = "delivery_year"
 
+# One table is built at a time: each build has the whole cluster, and no thread reads a table
+# that another has half written.
+_BUILDING = threading.RLock()
+
 
 @contextmanager
 def compiled_in_full(spark: SparkSession):
     """Keep the JVM compiling wide projections: it leaves methods of more than 8000 bytes to the
     interpreter, so Spark is told to split what would generate a larger one."""
     key = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "8000")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _BUILDING:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "8000")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 class LoadMart:
@@ -48,19 +53,17 @@ class LoadMart:
         raw: Callable[[], DataFrame],
         root: str | None = None,
         built: dict[str, T.StructType] | None = None,
-        lock=None,
     ):
         self.spark = spark
         self.root = root or f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
         self._raw = raw
         self._built = {} if built is None else built
         self._frames: dict[str, DataFrame] = {}
-        self._lock = lock or threading.RLock()
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table, built if need be. Its frame is kept, and with it the list of its files."""
         path = f"{self.root}/{name}"
-        with self._lock:
+        with _BUILDING:
             if name not in self._built:
                 rows = build()
                 self._write(name, rows, path)
@@ -161,8 +164,8 @@ class LoadMart:
 class DerivedMart(LoadMart):
     """The mart over raw loads that are derived from the given tables."""
 
-    def __init__(self, spark: SparkSession, source: str, root: str, built: dict, lock):
-        super().__init__(spark, self.derived_raw, root, built, lock)
+    def __init__(self, spark: SparkSession, source: str, root: str, built: dict):
+        super().__init__(spark, self.derived_raw, root, built)
         self.source = source
 
     def derived_raw(self) -> DataFrame:
@@ -173,18 +176,17 @@ class DerivedMart(LoadMart):
 
 # (application, source folder) -> the mart last used there
 _MARTS: dict[tuple[str, str], DerivedMart] = {}
-_MARTS_LOCK = threading.Lock()
 
 
 def mart_for(spark: SparkSession, folder: str) -> DerivedMart:
     """The mart over the given tables in ``folder``, shared by all queries of an application.
     Another session of the application reads the same built tables through a mart of its own."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
-    with _MARTS_LOCK:
+    with _BUILDING:
         known = _MARTS.get(key)
         if known is None:
             root = f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
-            _MARTS[key] = DerivedMart(spark, key[1], root, {}, threading.RLock())
+            _MARTS[key] = DerivedMart(spark, key[1], root, {})
         elif known.spark is not spark:
-            _MARTS[key] = DerivedMart(spark, key[1], known.root, known._built, known._lock)
+            _MARTS[key] = DerivedMart(spark, key[1], known.root, known._built)
         return _MARTS[key]

@@ -169,3 +169,23 @@ def test_a_question_run_again_replaces_its_entry(spark, tmp_path):
     unnamed = mart_of(spark, tmp_path / "b", {"shipper_name": None, "book_price": 5.0})
     log = K.run_questions(unnamed, folder, [K.QUESTIONS[1]]).collect()
     assert [r.answer for r in log] == ['[{"shipper_name":null,"total_book_price":5.0}]']
+
+
+def test_no_loads_at_all(spark, tmp_path):
+    from haulgrid.operators import checks
+    from haulgrid.sources.mart import LoadMart
+    from tests.helpers import raw_rows
+
+    m = LoadMart(spark, lambda: raw_rows(spark, {}).where("load_id < 0"), str(tmp_path / "m"))
+    assert {t.count() for t in m.tables().values()} == {0}
+    assert {r.status for r in checks.suite(m).collect()} == {"pass"}
+    answers = {i.id: i.build(m).collect() for i in K.QUESTIONS}
+    assert answers.pop("q1") == [(0,)]
+    assert all(rows == [] for rows in answers.values())
+    for name in B.BREAKDOWNS:
+        assert B.breakdown(m, name).count() == (1 if name == "kpis" else 0)
+    assert B.breakdown(m, "kpis").first().total_loads == 0
+    assert X.export_validation(m).first().row_count == 0
+    assert B.carrier_ranks(m).count() == 0
+    m.publish(str(tmp_path / "published"))
+    assert m.facts.columns[-1] == "delivery_year"

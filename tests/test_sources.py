@@ -103,3 +103,20 @@ def test_busy_and_missing_keys_are_spread(spark, key):
     rows = spark.range(8000).select(F.lit(key).cast("int").alias("k"))
     salted = with_salt(rows, "k", busiest_keys(rows, "k"), "s", 16)
     assert salted.groupBy("s").count().count() == 16
+
+
+def test_threads_share_one_build(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    builds = []
+
+    def source():
+        builds.append(1)
+        return raw_rows(spark, {}, {})
+
+    m = LoadMart(spark, source, str(tmp_path / "m"))
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda _: (m.facts.count(), m.lanes.count()), range(4)))
+    assert counts == [(2, 1)] * 4 and len(builds) == 1
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
