@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of up to so many rows is broadcast; the rows are counted first.
-BROADCAST_ROWS = 100_000
+# A lookup of up to so many rows, some 50 MB, is broadcast; the rows are counted first.
+BROADCAST_ROWS = 250_000
 
 # Keys that get salts. A key outside the 64 busiest holds less than 1/64 of all rows.
 BUSIEST = 64

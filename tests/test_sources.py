@@ -79,7 +79,7 @@ def test_tables_are_built_once(spark, tmp_path):
     assert m.staged.count() == m.shippers.count() == 1
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
+@pytest.mark.parametrize("limit", [250_000, 0])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookups_equal_plain_joins(spark, monkeypatch, how, limit):
     monkeypatch.setattr("haulgrid.operators.skew.BROADCAST_ROWS", limit)
