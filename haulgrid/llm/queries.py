@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from haulgrid.llm import decontaminate
 from haulgrid.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op7_decontamination": decontaminate.op7_decontamination,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op7_decontamination": decontaminate.SQL,
+}
