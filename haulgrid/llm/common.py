@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulgrid.session import shared_folder
 
+# Functions of this subpackage are sent to executors whole, as they may not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules["haulgrid.llm"])
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
