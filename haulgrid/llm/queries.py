@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulgrid.llm import decontaminate, substrings
+from haulgrid.llm import decontaminate, substrings, topk
 from haulgrid.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": topk.op1_top_k,
     "op3_simhash": op3_simhash,
     "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_decontamination": decontaminate.op7_decontamination,
 }
 
 STATEMENTS: dict[str, str] = {
+    "op1_top_k": topk.SQL,
     "op6_substring_dedup": substrings.SQL,
     "op7_decontamination": decontaminate.SQL,
 }
