@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulgrid.llm import decontaminate, mixing, preferences, substrings, topk
+from haulgrid.llm import decontaminate, mixing, preferences, substrings, topk, toxicity
 from haulgrid.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_preferences": preferences.op10_preferences,
 }

@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from haulgrid.llm.common import mapped, partitions, stored, table
@@ -245,6 +246,25 @@ def near_duplicates(
     return every.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names their near-duplicate component, one row for each id.
+
+    Rows without a doc_id are in no component that an id could name, and all stay. Of several rows
+    with the id that stays, the one of least text hash stays. All columns pass through.
+    """
+    found = stored(near_duplicates(docs, shingle, distance), "components")
+    leaders = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    repeated = stored(leaders.where("_rows > 1").select("doc_id"), "repeated")
+    named = docs.join(leaders.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    if not repeated.isEmpty():
+        first = named.join(repeated, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id")
+        first = first.withColumn("n", F.row_number().over(
+            W.partitionBy("doc_id").orderBy(F.xxhash64("row.text"), F.xxhash64("row"))
+        )).where("n = 1").select("row.*")
+        named = named.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(first)
+    return named.union(docs.where("doc_id is null"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, with its fingerprint in hexadecimal."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
