@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulgrid.llm import decontaminate, language, mixing, preferences, quality, substrings, topk, toxicity
+from haulgrid.llm import decontaminate, language, licenses, mixing, preferences, quality, substrings, topk, toxicity
 from haulgrid.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": quality.op2_quality,
     "op3_simhash": op3_simhash,
     "op4_language": language.op4_language,
+    "op5_licenses": licenses.op5_licenses,
     "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_toxicity": toxicity.op8_toxicity,
