@@ -8,44 +8,15 @@ from pyspark.sql.window import Window as W
 
 from haulgrid.sources.landing import quoted
 
-# As many keys as are broadcast at most: 8 MB of them.
-BROADCAST_KEYS = 1_000_000
 
-
-def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once. Reads the key column alone and shuffles partial counts."""
-    return rows.groupBy(key).count().where(F.col("count") > 1).select(key)
-
-
-def few_keys(repeated: DataFrame) -> bool:
-    """Is the table of repeated keys small enough to broadcast? Counts the written table, which
-    takes no more than the footers of its files."""
-    return repeated.count() <= BROADCAST_KEYS
-
-
-def first_copy(
-    rows: DataFrame, key: str, order: list[str], repeated: DataFrame | None = None
-) -> DataFrame:
+def first_copy(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per key: the first by ``order``, compared as stored, missing values last.
 
     Rows equal in all of ``order`` are told apart by a hash of the whole row, so that the
-    outcome does not depend on how the rows were read.
-
-    With ``repeated`` (the written result of ``repeated_keys``), and if that is small, only
-    rows of those keys are ranked and all others pass without a shuffle. Otherwise all rows
-    are. Either way ranking keeps one row per key in each task before the shuffle, so a key
-    with very many copies does not land in one task.
+    outcome does not depend on how the rows were read. Each task keeps one row per key before the
+    shuffle, so a key with very many copies does not land in one task.
     """
     whole_row = F.xxhash64(*[quoted(c) for c in rows.columns])
     ranking = W.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in order], whole_row)
-
-    def ranked_first(some: DataFrame) -> DataFrame:
-        ranked = some.withColumn("_rank", F.row_number().over(ranking))
-        return ranked.where(F.col("_rank") == 1).drop("_rank")
-
-    if repeated is None or not few_keys(repeated):
-        return ranked_first(rows)
-    marks = F.broadcast(repeated.select(F.col(key).alias("_repeated")))
-    same = F.col(key).eqNullSafe(F.col("_repeated"))
-    once = rows.join(marks, same, "left_anti")
-    return once.unionByName(ranked_first(rows.join(marks, same, "left_semi")))
+    ranked = rows.withColumn("_rank", F.row_number().over(ranking))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -132,10 +132,19 @@ def measured(
     chosen = [MEASURES[m] for m in measures]
     parts = list(dict.fromkeys(p for m in chosen for p in m.parts))
     known = additive_parts()
+    facts = mart.facts if loads is None else mart.facts.where(loads)
+    if members is not None and not set(members_use) & set(by):
+        filtering = list(_lookups(mart, members_use, role))
+        if len(filtering) == 1:
+            # One dimension is asked for its filter alone: the loads of its members are taken
+            # first, and are then not grouped by a key that the result does not have.
+            (fact_column, key, dimension, _), = filtering
+            some = dimension.where(members).select(F.col(key).alias("_key"))
+            facts = facts.join(some, F.col(fact_column) == F.col("_key"), "left_semi")
+            members, members_use = None, ()
     lookups = list(_lookups(mart, [*by, *members_use], role))
     looked_up = {a for *_, wanted in lookups for a in wanted}
 
-    facts = mart.facts if loads is None else mart.facts.where(loads)
     own = [a for a in by if a not in looked_up]
     keys = list(dict.fromkeys([fact_column for fact_column, *_ in lookups] + own))
     sums = facts.groupBy(*keys).agg(*[known[p].alias(p) for p in parts])

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulgrid.functions.cleaning import LANE_SHAPE
-from haulgrid.operators.dedupe import few_keys
 from haulgrid.sources.landing import quoted
 
 
@@ -16,19 +15,17 @@ def shape(raw: DataFrame) -> DataFrame:
     )
 
 
-def duplicates(raw: DataFrame, key: str, repeated: DataFrame) -> DataFrame:
+def duplicates(raw: DataFrame, key: str) -> DataFrame:
     """Ids that occur more than once, and rows that repeat another row in full.
 
-    Equal rows share their id, so if few ids are repeated only their rows are compared column
-    by column. Copies are counted before the shuffle, so many of one row are one there.
+    Of a row only the id and 128 bits of hash are shuffled. The hashes pass over missing values,
+    so they also take which ones are missing. Copies are counted before the shuffle.
     """
-    suspects = raw
-    if few_keys(repeated):
-        marks = F.broadcast(repeated.select(F.col(key).alias("_repeated")))
-        suspects = raw.join(marks, F.col(key).eqNullSafe(F.col("_repeated")), "left_semi")
-    copies = suspects.groupBy(*[quoted(c) for c in raw.columns]).agg(
-        F.count("*").alias("_copies")
-    )
+    columns = [quoted(c) for c in raw.columns]
+    missing = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    copies = raw.groupBy(
+        key, F.xxhash64(missing, *columns).alias("_one"), F.xxhash64(F.lit(1), *columns, missing).alias("_two")
+    ).agg(F.count("*").alias("_copies"))
     ids = copies.groupBy(key).agg(F.sum("_copies").alias("_rows"), F.count("*").alias("_kinds"))
     return ids.where(F.col("_rows") > 1).agg(
         F.count("*").alias("duplicated_ids"),

@@ -2,67 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of up to so many rows, some 50 MB, is broadcast; the rows are counted first.
-BROADCAST_ROWS = 250_000
 
-# Keys that get salts. A key outside the 64 busiest holds less than 1/64 of all rows.
-BUSIEST = 64
+def _partitions(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def busiest_keys(rows: DataFrame, key: str) -> DataFrame:
-    """The busiest keys, at most ``BUSIEST`` rows. Counts are added up before the shuffle."""
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), key).limit(BUSIEST).select(key)
+def busy_keys(rows: DataFrame, key: str) -> DataFrame:
+    """(_busy, _salts): keys with more rows than a partition's fair share, and how many shares.
 
+    There are fewer such keys than partitions, whatever the data. Counts are added up before the
+    shuffle.
+    """
+    partitions = _partitions(rows)
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    shares = F.col("_n") * partitions / counts.agg(F.sum("_n")).scalar()
+    return counts.select(F.col(key).alias("_busy"), F.ceil(shares).cast("int").alias("_salts")).where(
+        "_salts > 1"
+    )
 
-def _marked(rows: DataFrame, key: str, busiest: DataFrame) -> tuple[DataFrame, Column]:
-    # The limit in busiest_keys bounds what is broadcast.
-    marks = F.broadcast(busiest.select(F.col(key).alias("_busy")))
-    return rows.join(marks, F.col(key) == F.col("_busy"), "left"), F.col("_busy").isNotNull()
 
+def with_salt(rows: DataFrame, key: str, row_id: str, busy: DataFrame, salt: str) -> DataFrame:
+    """Add a salt drawn by a hash of the row's id: one of the key's salts, 0 for other keys.
 
-def with_salt(rows: DataFrame, key: str, busiest: DataFrame, salt: str, salts: int) -> DataFrame:
-    """Add a salt: any of the salts for rows of a busy or missing key, 0 for all others."""
-    marked, busy = _marked(rows, key, busiest)
-    drawn = F.floor(F.rand(seed=1) * salts).cast("int")
-    spread = busy | F.col(key).isNull()
-    return marked.withColumn(salt, F.when(spread, drawn).otherwise(F.lit(0))).drop("_busy")
+    A missing key finds nothing, so its rows are spread over all partitions.
+    """
+    # Fewer rows than partitions, see busy_keys.
+    marked = rows.join(F.broadcast(busy), F.col(key) == F.col("_busy"), "left")
+    salts = F.when(F.col(key).isNull(), F.lit(_partitions(rows))).otherwise(F.coalesce("_salts", F.lit(1)))
+    return marked.withColumn(salt, F.pmod(F.xxhash64(row_id), salts).cast("int")).drop("_busy", "_salts")
 
 
-def over_salts(
-    lookup: DataFrame, key: str, busiest: DataFrame, salt: str, salts: int
-) -> DataFrame:
+def over_salts(lookup: DataFrame, key: str, busy: DataFrame, salt: str) -> DataFrame:
     """Lookup rows for a salted join: those of busy keys once per salt, all others once."""
-    marked, busy = _marked(lookup, key, busiest)
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    one = F.array(F.lit(0))
-    return marked.withColumn(salt, F.explode(F.when(busy, every).otherwise(one))).drop("_busy")
+    marked = lookup.join(F.broadcast(busy), F.col(key) == F.col("_busy"), "left")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return marked.withColumn(salt, F.explode(every)).drop("_busy", "_salts")
 
 
-def looked_up(rows: DataFrame, *lookups: tuple[str, DataFrame, str]) -> DataFrame:
+def looked_up(rows: DataFrame, row_id: str, *lookups: tuple[str, DataFrame, str]) -> DataFrame:
     """Join rows to one lookup after the other; each is (key, lookup, join type).
 
-    A small lookup is broadcast. For a large one the rows of the busiest keys are spread over as
-    many salts as there are shuffle partitions, and only the lookup rows of those keys are
-    repeated; the result is that of the plain join. Adaptive execution alone would not do: it
-    finds hot partitions by their bytes, and copies or similar rows compress well.
-
-    Call it on rows as they are scanned. All salts are drawn before the first shuffle, where a
-    task that is run again sees its rows in the same order and draws the same numbers.
+    The plan is the same at every size: rows of keys that hold more than a partition's share are
+    spread over as many salts as they hold shares, and the lookup rows of those keys are repeated;
+    the result is that of the plain join. Whether a lookup is broadcast is up to Spark, which knows
+    its bytes. Adaptive execution alone would not do: it finds hot partitions by their bytes, and
+    copies or similar rows compress well.
     """
-    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    small = [lookup.count() <= BROADCAST_ROWS for _, lookup, _ in lookups]
-    busiest = {key: busiest_keys(rows, key) for (key, *_), few in zip(lookups, small) if not few}
-    for key, busy in busiest.items():
-        rows = with_salt(rows, key, busy, f"_salt_{key}", salts)
-    for (key, lookup, how), few in zip(lookups, small):
-        if few:
-            rows = rows.join(F.broadcast(lookup), key, how)
-        else:
-            salt = f"_salt_{key}"
-            spread = over_salts(lookup, key, busiest[key], salt, salts)
-            rows = rows.join(spread, [key, salt], how).drop(salt)
+    busy: dict[str, DataFrame] = {key: busy_keys(rows, key) for key, *_ in lookups}
+    for key, found in busy.items():
+        rows = with_salt(rows, key, row_id, found, f"_salt_{key}")
+    for key, lookup, how in lookups:
+        salt = f"_salt_{key}"
+        rows = rows.join(over_salts(lookup, key, busy[key], salt), [key, salt], how).drop(salt)
     return rows

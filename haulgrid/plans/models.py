@@ -48,6 +48,7 @@ AMOUNTS = ["book_price", "source_price", "pnl", "mileage", "carrier_rating"]
 
 LANE_COLUMNS = ["pickup_city", "pickup_state", "delivery_city", "delivery_state"]
 
+# The columns of the staged table and of the fact.
 STAGED_COLUMNS = [
     "load_id", "lane", *LANE_COLUMNS, *ROLES,
     "book_price", "source_price", "pnl", "mileage",
@@ -82,12 +83,12 @@ def normalized(raw: DataFrame) -> DataFrame:
     )
 
 
-def staged_loads(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def staged_loads(raw: DataFrame) -> DataFrame:
     """One typed row per load id with lane geography, delivery flag and haul type.
 
     The copy that is kept is the first by the *text* of its quote and book dates.
     """
-    typed = normalized(first_copy(raw, "load_id", ["quote_date", "book_date"], repeated))
+    typed = normalized(first_copy(raw, "load_id", ["quote_date", "book_date"]))
     return (
         typed.withColumns(C.lane_columns(F.col("lane")))
         .withColumns({
@@ -173,7 +174,7 @@ def facts_by_lookup(
     keys = ("shipper_key", "carrier_key", "lane_key")
     loads = load_facts(staged).select("load_id", *keys)
     dimensions = zip(keys, (shippers, carriers, lanes))
-    return looked_up(loads, *[(k, found(d, k), "left") for k, d in dimensions]).select(
+    return looked_up(loads, "load_id", *[(k, found(d, k), "left") for k, d in dimensions]).select(
         "load_id", *[F.col(f"_{k}").alias(k) for k in keys]
     )
 

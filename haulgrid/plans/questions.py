@@ -50,8 +50,10 @@ def delivered_in_last_full_month(
     if first is not None and end is not None:
         period = delivered_between(F.lit(first), F.lit(end))
     else:
-        month = last_full_month(mart.facts).scalar()
-        period = delivered_between(month, F.add_months(month, 1))
+        # Each bound is a value of its own to the scan, which skips by it.
+        month = last_full_month(mart.facts)
+        end = month.select(F.add_months("month", 1))
+        period = delivered_between(month.scalar(), end.scalar())
     return mart.facts.where(delivered() & period).agg(F.count("*").alias("delivered_loads"))
 
 

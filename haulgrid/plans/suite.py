@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,70 +14,85 @@ from haulgrid.plans import questions as q
 from haulgrid.sources.mart import LoadMart
 
 LOG_SCHEMA = (
-    "id string, question string, status string, answer string, answer_rows bigint, "
-    "error string, error_message string, notes string"
+    "id string, question string, why_it_matters string, assumption string, "
+    "what_needs_change string, status string, answer string, answer_rows bigint, "
+    "answer_path string, error string, error_message string"
 )
 
 
 @dataclass(frozen=True)
 class Question:
+    """A question; without ``build`` the data cannot answer it, and ``needs`` says what is missing.
+
+    ``bounded`` tells whether a limit or the calendar bounds the answer. Only then does the log
+    entry hold it; every answer is in files, whose folder the entry names.
+    """
+
     id: str
     text: str
-    build: Callable[[LoadMart], DataFrame]
-    notes: str
-    # True where a limit or the calendar bounds the answer; only then is it one log entry.
-    bounded: bool = True
+    build: Callable[[LoadMart], DataFrame] | None
+    bounded: bool
+    why: str
+    assumption: str
+    needs: str | None = None
 
 
 QUESTIONS = [
-    Question("q1", "Delivered loads in the last full month", q.delivered_in_last_full_month,
-             "delivered loads"),
-    Question("q2", "Shipper with the highest total book price", q.top_shippers_by_book_price,
-             "all loads"),
-    Question("q3", "Average book price by pickup state", q.book_price_by_pickup_state,
-             "all loads", bounded=False),
-    Question("q4", "Top five lanes by delivered loads", q.top_lanes, "delivered loads"),
-    Question("q5", "Carrier with most delivered loads into a state", q.top_carriers_into,
-             "delivered loads"),
-    Question("q6", "Average book price by haul type", q.book_price_by_haul_type, "all loads"),
-    Question("q7", "Monthly volume of the busiest shipper", q.busiest_shipper_by_month,
-             "delivered loads"),
-    Question("q8", "Dearest lane of at least ten delivered loads", q.dearest_lanes,
-             "delivered loads"),
-    Question("q9", "Top ten lanes by P&L ratio", q.lanes_by_pnl_ratio, "all loads"),
-    Question("q10", "Carriers rated below three on average", q.low_rated_carriers,
-             "rated loads", bounded=False),
+    Question("q1", "Delivered loads in the last full month", q.delivered_in_last_full_month, True,
+             "volume of the latest closed month",
+             "a month is full if its last day has a delivery or a later month has one"),
+    Question("q2", "Shipper with the highest total book price", q.top_shippers_by_book_price, True,
+             "concentration of revenue", "all loads count, delivered or not"),
+    Question("q3", "Average book price by pickup state", q.book_price_by_pickup_state, False,
+             "regional pricing", "all loads count, delivered or not"),
+    Question("q4", "Top five lanes by delivered loads", q.top_lanes, True,
+             "where capacity is needed", "a lane is its whole text; ties go by name"),
+    Question("q5", "Carrier with most delivered loads into a state", q.top_carriers_into, True,
+             "dependence on one carrier", "loads without a named carrier compete as one"),
+    Question("q6", "Average book price by haul type", q.book_price_by_haul_type, True,
+             "price of crossing a state line", "a malformed lane counts as intrastate"),
+    Question("q7", "Monthly volume of the busiest shipper", q.busiest_shipper_by_month, True,
+             "trend of the largest account", "months without a load count as zero"),
+    Question("q8", "Dearest lane of at least ten delivered loads", q.dearest_lanes, True,
+             "lanes worth a closer look", "fewer loads make no reliable average"),
+    Question("q9", "Top ten lanes by P&L ratio", q.lanes_by_pnl_ratio, True,
+             "most profitable lanes", "P&L over book price, lanes of no price left out"),
+    Question("q10", "Carriers rated below three on average", q.low_rated_carriers, False,
+             "quality of service", "only rated loads count"),
+    Question("q11", "Profit after operating overhead", None, True,
+             "true profitability", "overhead would have to be known per load",
+             needs="no column holds operating overhead"),
 ]
 
 
 def run_questions(
     mart: LoadMart, folder: str, questions: list[Question] | None = None
 ) -> DataFrame:
-    """Run every question and log it; a failing one is logged as an error and the rest go on.
+    """Run every question and log it; a failing one is logged and the rest go on.
 
-    Answers are rows of JSON under ``answers/<id>``, written where they are computed. A bounded
-    answer also stands in its log entry as one array. Returns the log. A later run in the same
-    folder replaces the answers and entries of its questions.
+    The status is ``success``, ``unsupported`` for a question that the data cannot answer,
+    ``sql_error`` if Spark could not run the query, and ``error`` if anything else went wrong.
+    Answers are lines of JSON under ``answers/<id>``: a row, and its place in the answer's order. A
+    bounded answer also stands in its entry as one array in that order. Returns the log. A later
+    run in the same folder replaces the answers and entries of its questions.
     """
     spark = mart.spark
     asked = QUESTIONS if questions is None else questions
     for item in asked:
-        entry = {"id": item.id, "question": item.text, "notes": item.notes}
+        entry = {
+            "id": item.id, "question": item.text, "why_it_matters": item.why,
+            "assumption": item.assumption, "what_needs_change": item.needs,
+        }
         try:
-            path = f"{folder}/answers/{item.id}"
-            answer = item.build(mart)
-            record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-            answer.select(record.alias("value")).write.mode("overwrite").text(path)
-            rows = spark.read.text(path)
-            array = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
-            log = rows.agg(
-                F.count("*").alias("answer_rows"),
-                (array if item.bounded else F.lit(None).cast("string")).alias("answer"),
-            ).withColumn("status", F.lit("success"))
+            if item.build is None:
+                log = spark.range(1).select(F.lit("unsupported").alias("status"))
+            else:
+                log = _answered(mart, item, f"{folder}/answers/{item.id}")
             _enter(log, entry, folder)
         except Exception as failure:  # noqa: BLE001 - the run goes on whatever went wrong
+            status = "sql_error" if isinstance(failure, PySparkException) else "error"
             log = spark.range(1).select(
-                F.lit("error").alias("status"),
+                F.lit(status).alias("status"),
                 F.lit(type(failure).__name__).alias("error"),
                 F.lit(str(failure)).alias("error_message"),
             )
@@ -84,8 +100,21 @@ def run_questions(
     return read_log(spark, folder, [item.id for item in asked])
 
 
-def _enter(log: DataFrame, entry: dict[str, str], folder: str) -> None:
-    columns = {name: F.lit(value) for name, value in entry.items()}
+def _answered(mart: LoadMart, item: Question, path: str) -> DataFrame:
+    """Write the answer; one row for the log about it."""
+    # Partitions of a sorted answer are in its order, and so are these numbers.
+    answer = item.build(mart).select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row"))
+    answer.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    rows = mart.spark.read.schema("place long, row string").json(path)
+    log = [F.lit("success").alias("status"), F.count("*").alias("answer_rows"), F.lit(path).alias("answer_path")]
+    if item.bounded:
+        ordered = F.array_sort(F.collect_list(F.struct("place", "row")))
+        log.append(F.concat(F.lit("["), F.array_join(ordered["row"], ","), F.lit("]")).alias("answer"))
+    return rows.agg(*log)
+
+
+def _enter(log: DataFrame, entry: dict[str, str | None], folder: str) -> None:
+    columns = {name: F.lit(value).cast("string") for name, value in entry.items()}
     log.withColumns(columns).write.mode("overwrite").option("ignoreNullFields", False).json(
         f"{folder}/log/{entry['id']}"
     )

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulgrid.operators.dedupe import repeated_keys
 from haulgrid.plans import models
 from haulgrid.session import shared_folder
 from haulgrid.sources.landing import read_loads_csv
@@ -75,10 +74,10 @@ class LoadMart:
     def _write(self, name: str, rows: DataFrame, path: str) -> None:
         writer = rows.write.mode("overwrite")
         if name == "fct_loads":
-            # Rebalancing gathers each year into files of even size; adaptive execution splits
-            # a year that holds most rows over many tasks and merges the small ones.
+            # Ranges of date and id: files do not overlap in dates but at their edges, and a day
+            # with most loads, or loads without a date, are split by id.
             writer = (
-                rows.hint("rebalance", FACT_PARTITION)
+                rows.repartitionByRange("delivery_date", "load_id")
                 .sortWithinPartitions(FACT_PARTITION, "delivery_date")
                 .write.mode("overwrite")
                 .partitionBy(FACT_PARTITION)
@@ -90,13 +89,9 @@ class LoadMart:
     def raw(self) -> DataFrame:
         return self._table("raw_loads", self._raw)
 
-    @property
-    def repeated(self) -> DataFrame:
-        return self._table("repeated_ids", lambda: repeated_keys(self.raw, "load_id"))
-
     @property
     def staged(self) -> DataFrame:
-        return self._table("stg_loads", lambda: models.staged_loads(self.raw, self.repeated))
+        return self._table("stg_loads", lambda: models.staged_loads(self.raw))
 
     @property
     def shippers(self) -> DataFrame:
@@ -169,9 +164,7 @@ class DerivedMart(LoadMart):
         self.source = source
 
     def derived_raw(self) -> DataFrame:
-        # Written first: it is then counted, and looked up, without being aggregated again.
-        items = self._table("order_items", lambda: order_items(self.spark, self.source))
-        return derive_raw_loads(self.spark, self.source, items)
+        return derive_raw_loads(self.spark, self.source, order_items(self.spark, self.source))
 
 
 # (application, source folder) -> the mart last used there

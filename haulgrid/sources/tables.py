@@ -51,21 +51,20 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.max("l_extendedprice").alias("max_price"),
     )
     carriers = parties(spark, folder, "supplier", "carrier")
-    return items.join(carriers, "carrier_key", "left").drop("carrier_key")
+    return looked_up(items, "l_orderkey", ("carrier_key", carriers, "left")).drop("carrier_key")
 
 
 def derive_raw_loads(spark: SparkSession, folder: str, items: DataFrame) -> DataFrame:
     """The 31-column raw table, with its exact duplicates, from orders and their parties.
 
-    ``items`` is ``order_items``. Places are part of the looked-up parties, so that the loads
-    themselves are joined twice only.
+    ``items`` is ``order_items``, whose order key is that of the orders, each once. Places are part
+    of the looked-up parties, so that the loads themselves are joined twice only.
     """
     shippers = parties(spark, folder, "customer", "shipper")
     loads = looked_up(
-        table(spark, folder, "orders"),
+        table(spark, folder, "orders"), "o_orderkey",
         ("o_custkey", shippers.withColumnRenamed("shipper_key", "o_custkey"), "inner"),
-        ("o_orderkey", items.withColumnRenamed("l_orderkey", "o_orderkey"), "left"),
-    )
+    ).join(items.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
     carried = F.col("carrier_nation").isNotNull()
     pickup = {c: F.col(f"shipper_{c}") for c in ("nation", "city", "state")}
     delivery = {c: F.when(carried, F.col(f"carrier_{c}")).otherwise(pickup[c]) for c in pickup}

@@ -6,7 +6,6 @@ staged loads, dimensions, fact.
 
 from __future__ import annotations
 
-from haulgrid.operators.checks import ACCEPTED, NOT_NULL, RELATIONSHIPS, UNIQUE
 from haulgrid.plans.breakdowns import BREAKDOWNS
 from haulgrid.plans.models import FACT_COLUMNS, STAGED_COLUMNS
 from haulgrid.plans.registry import (
@@ -16,6 +15,42 @@ from haulgrid.plans.suite import QUESTIONS
 from haulgrid.sources.landing import RAW_COLUMNS
 
 
+# What the checks cover, written out here so that a check missing in the library differs.
+NOT_NULL = {
+    "stg_loads": (
+        "load_id lane pickup_city pickup_state "
+        "delivery_city delivery_state book_price load_was_cancelled is_delivered"
+    ).split(),
+    "dim_shipper": "shipper_key".split(),
+    "dim_carrier": "carrier_key".split(),
+    "dim_lane": "lane_key lane pickup_state delivery_state haul_type".split(),
+    "dim_date": "date_day month_start_date year_month".split(),
+    "fct_loads": (
+        "load_id shipper_key carrier_key lane_key quote_date booked_date pickup_date delivery_date "
+        "book_price source_price pnl mileage equipment_type vip_carrier load_was_cancelled is_delivered haul_type"
+    ).split(),
+}
+UNIQUE = {
+    "stg_loads": "load_id",
+    "dim_shipper": "shipper_key",
+    "dim_carrier": "carrier_key",
+    "dim_lane": "lane_key",
+    "dim_date": "date_day",
+    "fct_loads": "load_id",
+}
+RELATIONSHIPS = {
+    "shipper_key": ("dim_shipper", "shipper_key"),
+    "carrier_key": ("dim_carrier", "carrier_key"),
+    "lane_key": ("dim_lane", "lane_key"),
+    "quote_date": ("dim_date", "date_day"),
+    "booked_date": ("dim_date", "date_day"),
+    "sourced_date": ("dim_date", "date_day"),
+    "pickup_date": ("dim_date", "date_day"),
+    "delivery_date": ("dim_date", "date_day"),
+}
+ACCEPTED = {"dim_lane": "haul_type", "fct_loads": "haul_type"}
+
+
 def _fmt(moment: str) -> str:
     return f"strftime({moment}, '%-m/%-d/%Y %-H:%M')"
 
@@ -215,9 +250,19 @@ _Q["s3_staging_view"] = (
     "SELECT equipment_type, count(*) AS loads, count(carrier_name) AS named_carriers "
     "FROM stg_loads GROUP BY ALL"
 )
+_PUBLISHED = {
+    "dim_date": "date_day month_start_date year quarter month year_month day_of_week day_name",
+    "dim_shipper": "shipper_key shipper_name",
+    "dim_carrier": "carrier_key carrier_name",
+    "dim_lane": "lane_key lane pickup_city pickup_state delivery_city delivery_state haul_type",
+    "fct_loads": "load_id shipper_key carrier_key lane_key quote_date booked_date sourced_date "
+                 "pickup_date delivery_date equipment_type haul_type is_delivered",
+}
 _Q["s4_published_tables"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-    for t in ("dim_date", "dim_shipper", "dim_carrier", "dim_lane", "fct_loads")
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, sum(CAST('0x' || substr(md5(concat_ws('|', "
+    + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns.split())
+    + f")), 1, 8) AS BIGINT))::BIGINT AS content FROM {t}"
+    for t, columns in _PUBLISHED.items()
 )
 _Q["s5_mart_scan"] = "SELECT load_id, booked_date, book_price, is_delivered FROM fct_loads"
 
@@ -343,7 +388,7 @@ _Q["a13_order_by_hidden_count"] = (
 )
 _Q["t5_nulls_last"] = (
     "SELECT load_id, carrier_rating, delivery_date FROM fct_loads ORDER BY carrier_rating "
-    "NULLS LAST, delivery_date DESC NULLS LAST, load_id LIMIT 25"
+    "NULLS LAST, delivery_date DESC NULLS LAST, load_id"
 )
 _Q["u1_lifecycle_dates"] = (
     "SELECT min(d) AS first_day, max(d) AS last_day, count(d) AS dates FROM moments"
@@ -620,22 +665,29 @@ _ANSWERS = {
     "q7": "q7_busiest_shipper_by_month", "q8": "q8_dearest_lane",
     "q9": "q9_lanes_by_pnl_ratio", "q10": "q10_low_rated_carriers",
 }
+_TEXTS = {
+    "q1": """'[{"delivered_loads":' || any_value(delivered_loads) || '}]'""",
+    "q4": """'[' || string_agg('{"lane":"' || lane || '","delivered_loads":' || delivered_loads || '}', ','
+      ORDER BY delivered_loads DESC, lane) || ']'""",
+    "q5": """'[{"carrier_name":' || any_value(coalesce('"' || carrier_name || '"', 'null'))
+      || ',"delivered_loads":' || any_value(delivered_loads) || '}]'""",
+    "q7": """'[' || string_agg('{"delivery_month":"' || delivery_month || '","delivered_loads":'
+      || delivered_loads || '}', ',' ORDER BY delivery_month) || ']'""",
+}
+_UNBOUNDED = ("q3", "q10")
 _Q["s8_answer_log"] = " UNION ALL ".join(
-    f"(SELECT '{i.id}' AS id, '{i.text}' AS question, 'success' AS status, "
-    f"count(*) AS answer_rows, {str(i.bounded).lower()} AS answer_in_log "
-    f"FROM ({_Q[_ANSWERS[i.id]]}))"
-    for i in QUESTIONS
-)
-_Q["k1_question_suite"] = f"""
-(SELECT 'q1' AS id, 'success' AS status,
-   '[{{"delivered_loads":' || delivered_loads || '}}]' AS answer
- FROM ({_Q["q1_last_full_month"]}))
-UNION ALL
-(SELECT 'q4', 'success', '[' || string_agg(
-   '{{"lane":"' || lane || '","delivered_loads":' || delivered_loads || '}}', ','
-   ORDER BY delivered_loads DESC, lane) || ']'
- FROM ({_Q["q4_top_lanes"]}))
-UNION ALL (SELECT 'q11', 'error', NULL)"""
+    f"(SELECT '{i.id}' AS id, '{i.text}' AS question, '{i.assumption}' AS assumption, "
+    f"'success' AS status, count(*) AS answer_rows, {str(i.id not in _UNBOUNDED).lower()} AS answer_in_log, "
+    f"true AS answer_in_files, {_TEXTS.get(i.id, 'NULL')} AS answer FROM ({_Q[_ANSWERS[i.id]]}))"
+    for i in QUESTIONS if i.id in _ANSWERS
+) + (
+    " UNION ALL (SELECT 'q11', 'Profit after operating overhead', "
+    "'overhead would have to be known per load', 'unsupported', NULL, false, false, NULL)"
+)
+_Q["k1_question_suite"] = (
+    "SELECT * FROM (VALUES ('success', 10::BIGINT), ('unsupported', 1), ('sql_error', 1), ('error', 1)) "
+    "AS t(status, runs)"
+)
 
 STATEMENTS = {name: MODELS + sql for name, sql in _Q.items()}
 

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulgrid.operators import checks, profile
-from haulgrid.operators.dedupe import repeated_keys
 from tests.helpers import mart_of, raw_rows
 
 
@@ -94,14 +93,12 @@ def test_delivered_definition(spark, tmp_path):
     assert [r.load_id for r in broken] == [1]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_duplicate_rows(spark, monkeypatch, limit):
-    monkeypatch.setattr("haulgrid.operators.dedupe.BROADCAST_KEYS", limit)
+def test_duplicate_rows(spark):
     raw = raw_rows(
         spark, {"load_id": 1}, {"load_id": 1}, {"load_id": 1, "pnl": 3.0}, {"load_id": 2},
         {"load_id": 3}, {"load_id": 3}, {"load_id": None}, {"load_id": None},
     )
-    found = profile.duplicates(raw, "load_id", repeated_keys(raw, "load_id")).first()
+    found = profile.duplicates(raw, "load_id").first()
     assert tuple(found) == (3, 3)
 
 
@@ -115,3 +112,49 @@ def test_constant_columns(spark):
     assert len(empty) == 31 and not any(r.is_constant for r in empty)
     none = profile.constant_columns(raw_rows(spark, *[{"carrier_name": None}] * 3)).collect()
     assert {r.column_name for r in none if not r.is_constant} == {"load_id", "carrier_name"}
+
+
+class Tampered:
+    """A mart with one table replaced."""
+
+    def __init__(self, mart, **tables):
+        self._tables = {**mart.tables(), **tables}
+        self.facts, self.lanes = self._tables["fct_loads"], self._tables["dim_lane"]
+
+    def tables(self):
+        return self._tables
+
+
+def failing(mart):
+    return {(r.check_name, r.model, r.column_name): r.failing_rows
+            for r in checks.suite(mart).where("failing_rows > 0").collect()}
+
+
+def test_suite_counts_what_fails(spark, mart):
+    tables = mart.tables()
+    clean = failing(mart)
+    facts, shippers = tables["fct_loads"], tables["dim_shipper"]
+    most = facts.groupBy("shipper_key").count().orderBy(F.desc("count")).first()
+    found = failing(Tampered(mart, dim_shipper=shippers.where(F.col("shipper_key") != most.shipper_key)))
+    assert found == {**clean, ("relationships", "fct_loads", "shipper_key"): most["count"]}
+
+    day = facts.where("delivery_date is not null").groupBy("delivery_date").count().orderBy(F.desc("count")).first()
+    calendar = tables["dim_date"].where(F.col("date_day") != day.delivery_date)
+    found = failing(Tampered(mart, dim_date=calendar))
+    assert found["relationships", "fct_loads", "delivery_date"] == day["count"]
+
+    twice = facts.where("load_id % 10 = 1")
+    found = failing(Tampered(mart, fct_loads=facts.union(twice)))
+    assert found["unique", "fct_loads", "load_id"] == twice.count()
+
+    odd = F.when(F.col("load_id") % 7 == 0, F.lit("sideways")).otherwise(F.col("haul_type"))
+    found = failing(Tampered(mart, fct_loads=facts.withColumn("haul_type", odd)))
+    number = facts.where("load_id % 7 = 0").count()
+    assert found["accepted_values", "fct_loads", "haul_type"] == number
+    assert found["lane_consistency", "fct_loads", "haul_type"] == number
+
+
+def test_suite_scans_the_fact_three_times(mart):
+    plan = checks.suite(mart)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("booked_date") and sum("load_id" in line and "Relation" in line and "lane_key" in line
+                                             for line in plan.splitlines()) == 3

@@ -2,11 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import connect, difference
+from haulgrid.plans import registry
+from oracle_queries import STATEMENTS
 from tests.conftest import SMALL
 
-QUERIES, STATEMENTS = queries(), oracle_sql()
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")

@@ -189,3 +189,38 @@ def test_no_loads_at_all(spark, tmp_path):
     assert B.carrier_ranks(m).count() == 0
     m.publish(str(tmp_path / "published"))
     assert m.facts.columns[-1] == "delivery_year"
+
+
+def test_filter_on_a_dimension_comes_before_the_grouping(mart):
+    plan = Q.top_carriers_into(mart, "AS")._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert grouped and not any("lane_key" in line.split("]")[0] for line in grouped)
+
+
+def test_a_month_is_in_few_files(spark, tmp_path):
+    from haulgrid.sources.mart import LoadMart
+    from tests.helpers import raw_rows
+
+    days = [{"load_id": i, "delivery_date": f"{1 + i % 12}/{1 + i % 28}/2024 6:00"} for i in range(600)]
+    m = LoadMart(spark, lambda: raw_rows(spark, *days), str(tmp_path / "mart"))
+    files = m.facts.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("delivery_date").alias("a"), F.max("delivery_date").alias("b")
+    ).orderBy("a", "b").collect()
+    assert all(one.b <= two.a for one, two in zip(files, files[1:]))
+
+
+def test_answers_keep_their_order_in_several_files(spark, tmp_path):
+    import json
+
+    from haulgrid.plans import suite as K
+
+    class Any:
+        pass
+
+    here = Any()
+    here.spark = spark
+    numbers = lambda m: spark.range(0, 90, numPartitions=9).orderBy(F.desc("id")).repartitionByRange(6, F.desc("id"))
+    item = K.Question("n", "Numbers, highest first", numbers, True, "order", "none")
+    row = K.run_questions(here, str(tmp_path / "log"), [item]).first()
+    assert row.status == "success" and row.answer_rows == 90
+    assert [r["id"] for r in json.loads(row.answer)] == list(range(89, -1, -1))

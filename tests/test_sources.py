@@ -3,7 +3,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from haulgrid.operators.skew import busiest_keys, looked_up, with_salt
+from haulgrid.operators.skew import busy_keys, looked_up, with_salt
 from haulgrid.sources.landing import RAW_COLUMNS, read_loads_csv, write_loads_csv
 from haulgrid.plans.questions import top_lanes
 from haulgrid.sources.mart import LoadMart
@@ -79,10 +79,8 @@ def test_tables_are_built_once(spark, tmp_path):
     assert m.staged.count() == m.shippers.count() == 1
 
 
-@pytest.mark.parametrize("limit", [250_000, 0])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookups_equal_plain_joins(spark, monkeypatch, how, limit):
-    monkeypatch.setattr("haulgrid.operators.skew.BROADCAST_ROWS", limit)
+def test_lookups_equal_plain_joins(spark, how):
     rows = spark.range(5000).select(
         "id",
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"),
@@ -93,16 +91,23 @@ def test_lookups_equal_plain_joins(spark, monkeypatch, how, limit):
     second = spark.range(60).select(F.col("id").alias("j"), (-F.col("id")).alias("w"))
     second = second.union(spark.sql("SELECT CAST(NULL AS BIGINT), 1L"))
     columns = ["id", "k", "j", "v", "w"]
-    salted = looked_up(rows, ("k", first, how), ("j", second, "left")).select(*columns)
+    salted = looked_up(rows, "id", ("k", first, how), ("j", second, "left")).select(*columns)
     plain = rows.join(first, "k", how).join(second, "j", "left").select(*columns)
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
 
-@pytest.mark.parametrize("key", [7, None])
-def test_busy_and_missing_keys_are_spread(spark, key):
-    rows = spark.range(8000).select(F.lit(key).cast("int").alias("k"))
-    salted = with_salt(rows, "k", busiest_keys(rows, "k"), "s", 16)
-    assert salted.groupBy("s").count().count() == 16
+@pytest.mark.parametrize("keys", [1, 2, 65, 1000])
+def test_no_key_and_salt_holds_more_than_twice_the_fair_share(spark, keys):
+    rows = spark.range(20_000).select("id", (F.col("id") % keys).alias("k"))
+    salted = with_salt(rows, "k", "id", busy_keys(rows, "k"), "s")
+    fair = 20_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert salted.groupBy("k", "s").count().agg(F.max("count")).first()[0] <= 2 * fair
+
+
+def test_missing_keys_are_spread(spark):
+    rows = spark.range(8000).select("id", F.lit(None).cast("int").alias("k"))
+    salted = with_salt(rows, "k", "id", busy_keys(rows, "k"), "s")
+    assert salted.groupBy("s").count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_threads_share_one_build(spark, tmp_path):

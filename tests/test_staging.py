@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulgrid.functions import cleaning as C
-from haulgrid.operators.dedupe import first_copy, repeated_keys
+from haulgrid.operators.dedupe import first_copy
 from haulgrid.plans import models as M
 from tests.helpers import raw_rows
 
@@ -32,23 +32,25 @@ DUPLICATES = [
 ]
 
 
-@pytest.mark.parametrize("few", [None, True, False])
-def test_first_copy_is_by_text_with_missing_last(spark, monkeypatch, few):
+def test_first_copy_is_by_text_with_missing_last(spark):
     raw = raw_rows(spark, *DUPLICATES)
-    repeated = None if few is None else repeated_keys(raw, "load_id")
-    if few is False:
-        monkeypatch.setattr("haulgrid.operators.dedupe.BROADCAST_KEYS", 1)
-    rows = first_copy(raw, "load_id", ["quote_date", "book_date"], repeated).collect()
+    rows = first_copy(raw, "load_id", ["quote_date", "book_date"]).collect()
     assert {(r.load_id, r.book_price) for r in rows} == {(7, 1.0), (8, 4.0), (9, 100.0)}
 
 
 def test_missing_ids_are_one_group(spark):
     raw = raw_rows(spark, {"load_id": None}, {"load_id": None, "quote_date": "0"}, {})
-    repeated = repeated_keys(raw, "load_id")
-    rows = first_copy(raw, "load_id", ["quote_date", "book_date"], repeated).collect()
+    rows = first_copy(raw, "load_id", ["quote_date", "book_date"]).collect()
     assert sorted((r.load_id or 0, r.quote_date) for r in rows) == [(0, "0"), (3, "1/1/2024 8:00")]
 
 
+def test_an_id_with_a_third_of_all_rows_is_cut_down_before_the_shuffle(spark):
+    raw = raw_rows(spark, *[{"load_id": 1 if i % 3 == 0 else i, "quote_date": str(i)} for i in range(300)])
+    kept = first_copy(raw.repartition(8), "load_id", ["quote_date", "book_date"])
+    assert kept.count() == 201 and kept.where("load_id = 1").first().quote_date == "0"
+    assert "WindowGroupLimit" in kept._jdf.queryExecution().toString()
+
+
 def test_rows_equal_in_order_columns_have_one_stable_winner(spark):
     changes = [{"load_id": 5, "book_price": float(i)} for i in range(20)]
     winners = {
