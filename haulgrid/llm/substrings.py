@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from haulgrid.llm.common import mapped, partitions, stored, table
@@ -99,45 +100,42 @@ def _split(text: str | None) -> list[bytes]:
 
 
 def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """The segments of each text, without their words; a segment's id is a 128-bit hash of them."""
+    columns = ["key", "segment", "doc_id", "text_hash", "first", "last"]
+
     def of(batch: pd.DataFrame) -> pd.DataFrame:
         out = []
         for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
             words = _split(text)
             if len(words) >= window:
                 key, first, last = anchors(words, window, gram)
-                out.append(pd.DataFrame({
-                    "key": key, "doc_id": doc_id, "text_hash": text_hash, "first": first, "last": last
-                }))
-        return pd.concat(out) if out else pd.DataFrame(
-            {name: [] for name in ("key", "doc_id", "text_hash", "first", "last")}, dtype="int64"
-        )
+                joined = b" ".join(words)
+                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+                starts = np.concatenate(([0], ends[:-1] + 1))
+                spans = zip(starts[first].tolist(), ends[last + window - 1].tolist())
+                segment = [xxhash.xxh3_128_digest(joined[i:j]) for i, j in spans]
+                out.append(pd.DataFrame(dict(zip(columns, (key, segment, doc_id, text_hash, first, last)))))
+        return pd.concat(out) if out else pd.DataFrame(columns=columns)
 
     return mapped(
         docs.where("doc_id is not null"), of,
-        "key long, doc_id long, text_hash long, first int, last int",
+        "key long, segment binary, doc_id long, text_hash long, first int, last int",
     )
 
 
 def _segment_rows(docs: DataFrame, window: int) -> DataFrame:
-    """Cut the listed segments out of each text; a segment's id is a 128-bit hash of its words."""
+    """Cut the listed segments out of each text."""
     def of(batch: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc_id, text_hash, text, wanted in zip(
-            batch["doc_id"], batch["text_hash"], batch["text"], batch["wanted"]
-        ):
+        for doc_id, text, wanted in zip(batch["doc_id"], batch["text"], batch["wanted"]):
             words = _split(text)
             for row in wanted:
-                segment = b" ".join(words[row["first"]: row["last"] + window])
-                out.append((
-                    doc_id, text_hash, row["first"], row["key"],
-                    xxhash.xxh3_128_digest(segment), segment.decode(),
-                ))
-        return pd.DataFrame(
-            out, columns=["doc_id", "text_hash", "first", "key", "segment", "words"]
-        )
+                text_of = b" ".join(words[row["first"]: row["last"] + window]).decode()
+                out.append((row["key"], row["segment"], doc_id, text_of))
+        return pd.DataFrame(out, columns=["key", "segment", "first_doc", "words"])
 
     return mapped(
-        docs, of, "doc_id long, text_hash long, first int, key long, segment binary, words string"
+        docs.select("doc_id", "text", "wanted"), of, "key long, segment binary, first_doc long, words string"
     )
 
 
@@ -189,16 +187,18 @@ def repeated_windows(
         .where("low < high").select("key"),
         "shared",
     )
-    wanted = (
-        found.join(shared, "key", "left_semi").groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(F.struct("key", "first", "last")).alias("wanted"))
+    places = stored(found.join(shared, "key", "left_semi").distinct(), "places")
+    # Copies of a segment are one segment; its words come from the least document that has it.
+    holders = places.groupBy("segment").agg(
+        F.min(F.struct("doc_id", "text_hash", "first", "last", "key")).alias("at")
     )
-    cut = stored(_segment_rows(docs.join(wanted, ["doc_id", "text_hash"]), window), "segments")
-    places = cut.select("doc_id", "text_hash", "first", "segment").distinct()
-    # Copies of a segment are one segment of the least document that has it.
-    distinct = stored(
-        cut.groupBy("key", "segment", "words").agg(F.min("doc_id").alias("first_doc")), "distinct"
+    wanted = holders.groupBy("at.doc_id", "at.text_hash").agg(
+        F.collect_list(F.struct("segment", "at.key", "at.first", "at.last")).alias("wanted")
     )
+    # Repeated rows once; Spark drops those of a scan task before the shuffle that the join needs.
+    row = F.row_number().over(W.partitionBy("doc_id", "text_hash").orderBy("doc_id"))
+    once = docs.withColumn("_row", row).where("_row = 1").drop("_row")
+    distinct = stored(_segment_rows(once.join(wanted, ["doc_id", "text_hash"]), window), "segments")
     busy = stored(
         distinct.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("key"),
         "busy",
