@@ -51,6 +51,19 @@ def loads_by_role(mart: LoadMart, role: str, by: str, measure: str = "total_load
     return measured(mart, [measure], [by], role=role)
 
 
+def loads_by_roles(mart: LoadMart, roles: list[str], by: str) -> DataFrame:
+    """Loads by a calendar attribute for several date roles, from one scan of the fact."""
+    dates = F.array(*[F.struct(F.lit(r).alias("date_role"), F.col(r).alias("day")) for r in roles])
+    counts = (
+        mart.facts.select(F.inline(dates)).groupBy("date_role", "day")
+        .agg(F.count("*").alias("total_loads"))
+    )
+    days = mart.calendar.select(F.col("date_day").alias("day"), by)
+    return counts.join(days, "day", "left").groupBy("date_role", by).agg(
+        F.sum("total_loads").alias("total_loads")
+    )
+
+
 def carrier_ranks(mart: LoadMart) -> DataFrame:
     """Carriers with their dense rank by delivered loads, highest first."""
     groups = measured(mart, ["delivered_loads"], ["carrier_name"])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -45,7 +44,8 @@ def on_mart(name: str) -> Callable:
 
 
 def _scratch(mart: LoadMart, name: str) -> str:
-    return f"{mart.root}/out/{name}-{uuid.uuid4().hex}"
+    """Folder of what a query writes; the query's next run replaces it."""
+    return f"{mart.root}/out/{name}"
 
 
 def rounded(rows: DataFrame, places: dict[str, int]) -> DataFrame:
@@ -58,7 +58,7 @@ def rounded(rows: DataFrame, places: dict[str, int]) -> DataFrame:
 
 @on_mart("s1_csv_landing")
 def _(m):
-    path = _scratch(m, "csv")
+    path = _scratch(m, "s1")
     write_loads_csv(m.raw, path)
     return read_loads_csv(m.spark, path).select(*M.raw_columns(m.raw))
 
@@ -112,12 +112,12 @@ def _(m):
 
 @on_mart("s6_csv_export")
 def _(m):
-    return X.export_latest_month(m, _scratch(m, "export"))
+    return X.export_latest_month(m, _scratch(m, "s6"))
 
 
 @on_mart("s7_csv_read_back")
 def _(m):
-    folder = _scratch(m, "export")
+    folder = _scratch(m, "s7")
     loads = X.latest_month_loads(m)
     X.write_export(loads, folder)
     return X.read_back_check(loads, folder)
@@ -135,7 +135,7 @@ WHOLE_ANSWERS = ("q1", "q4", "q5", "q7")
 
 @on_mart("s8_answer_log")
 def _(m):
-    log = K.run_questions(m, _scratch(m, "questions"), _questions_here())
+    log = K.run_questions(m, _scratch(m, "s8"), _questions_here())
     return log.select(
         "id", "question", "assumption", "status", "answer_rows",
         F.col("answer").isNotNull().alias("answer_in_log"),
@@ -292,11 +292,7 @@ def _(m):
 
 @on_mart("j11_loads_by_role")
 def _(m):
-    roles = [
-        B.loads_by_role(m, role, "year_month").withColumn("date_role", F.lit(role))
-        for role in ("delivery_date", "booked_date", "pickup_date")
-    ]
-    return roles[0].unionByName(roles[1]).unionByName(roles[2])
+    return B.loads_by_roles(m, ["delivery_date", "booked_date", "pickup_date"], "year_month")
 
 
 # --- aggregations, windows, sorts, set operations -------------------------------------------
@@ -360,12 +356,9 @@ def _(m):
 
 @on_mart("u1_lifecycle_dates")
 def _(m):
-    dates = None
-    for moment in M.ROLES:
-        one = m.staged.where(F.col(moment).isNotNull()).select(
-            F.col(moment).cast("date").alias("date_day")
-        )
-        dates = one if dates is None else dates.unionByName(one)
+    """All lifecycle dates as rows of one column, from one scan."""
+    moments = F.array(*[F.col(moment).cast("date") for moment in M.ROLES])
+    dates = m.staged.select(F.explode(moments).alias("date_day")).where(F.col("date_day").isNotNull())
     return dates.agg(
         F.min("date_day").alias("first_day"), F.max("date_day").alias("last_day"),
         F.count("*").alias("dates"),
@@ -515,7 +508,7 @@ on_mart("e2_monthly_activity")(lambda m: X.monthly_activity(m.facts))
 on_mart("e3_latest_month_loads")(X.latest_month_loads)
 on_mart("e4_export_validation")(X.export_validation)
 on_mart("e5_export_written")(
-    lambda m: X.export_latest_month(m, _scratch(m, "export")).groupBy("delivery_date").agg(
+    lambda m: X.export_latest_month(m, _scratch(m, "e5")).groupBy("delivery_date").agg(
         F.count("*").alias("loads"), F.round(F.sum("book_price"), 2).alias("book_price")
     )
 )
@@ -616,7 +609,7 @@ def _(m):
                          lambda mart: mart.facts.select("operating_overhead"), True, "none", "none")
     broken = K.Question("q13", "A question whose code fails", lambda mart: 1 // 0, True, "none", "none")
     here = _questions_here()
-    log = K.run_questions(m, _scratch(m, "questions"), [failing, broken, *here])
+    log = K.run_questions(m, _scratch(m, "k1"), [failing, broken, *here])
     return K.status_counts(log)
 
 

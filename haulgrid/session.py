@@ -18,9 +18,20 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "32000",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM leaves methods of more than 8000 bytes to its interpreter, so Spark is told to split
+    # what would generate a larger one, as the wide projections here do.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def cluster_session(app: str = "haulgrid", **conf: str) -> SparkSession:
+    """A session with the settings for a large cluster; others, and the master, come from outside."""
+    builder = SparkSession.builder.appName(app).config(map=CLUSTER_CONF)
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def local_session(app: str = "haulgrid", cpus: int | str = "*", **conf: str) -> SparkSession:
     """A one-machine session, as used by the tests and the benchmark."""
     partitions = os.cpu_count() if cpus == "*" else int(cpus)
@@ -33,6 +44,7 @@ def local_session(app: str = "haulgrid", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

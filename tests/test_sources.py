@@ -120,8 +120,15 @@ def test_threads_share_one_build(spark, tmp_path):
         return raw_rows(spark, {}, {})
 
     m = LoadMart(spark, source, str(tmp_path / "m"))
-    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
     with ThreadPoolExecutor(4) as pool:
         counts = list(pool.map(lambda _: (m.facts.count(), m.lanes.count()), range(4)))
     assert counts == [(2, 1)] * 4 and len(builds) == 1
-    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
+def test_settings_for_a_cluster_are_settings(spark):
+    from haulgrid.session import CLUSTER_CONF
+
+    here = spark.newSession()
+    for key, value in CLUSTER_CONF.items():
+        here.conf.set(key, value)
+        assert here.conf.get(key) == value
