@@ -42,7 +42,7 @@ def logit(shares: np.ndarray) -> np.ndarray:
 
 def fit(
     rows: SparseRows, labels: np.ndarray, counts: np.ndarray | None = None,
-    ridge: float = 1e-4, steps: int = 400,
+    ridge: float = 1e-4, steps: int = 150,
 ) -> np.ndarray:
     """Weights of least mean logistic loss plus ridge, by accelerated gradient steps.
 
