@@ -47,14 +47,15 @@ def fit(
     """Weights of least mean logistic loss plus ridge, by accelerated gradient steps.
 
     Steps are scaled by the curvature of each weight, bounded by how often its feature occurs.
-    With labels of one kind only the intercept is fitted, to a probability short of certainty.
+    With labels of one kind only the intercept is fitted, to a probability short of certainty;
+    without labels it is that of never.
     """
     counts = np.ones(rows.number) if counts is None else counts
     size = rows.features + rows.dense.shape[1] + 1
     total = counts.sum()
     weights = np.zeros(size)
     mean = (counts * labels).sum() / total if total else 0.0
-    weights[-1] = logit(np.array([(mean * total + 0.5) / (total + 1)]))[0]
+    weights[-1] = logit(np.array([(mean * total + 0.5) / (total + 1) if total else 0.0]))[0]
     if not total or mean in (0.0, 1.0):
         return weights
     # Diagonal bound of the Hessian: each row's curvature spread over its entries.
