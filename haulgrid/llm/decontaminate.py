@@ -138,7 +138,7 @@ def contamination(
     lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())
     wanted = stored(windows.select("length", "hash").distinct(), "wanted")
 
-    places = f"array<struct<length:int,hash:bigint,at:int>>"
+    places = "array<struct<length:int,hash:bigint,at:int>>"
     if lengths:
         prints = _prints(docs, lengths, window, gram).withColumn("hash", _hash("print"))
         matched = (

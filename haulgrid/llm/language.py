@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrid.llm.common import fold_of, mapped, stored, table
+from haulgrid.llm.common import fold_of, mapped, table
 
 FOLDS = 3
 HELD_OUT = 1
