@@ -7,9 +7,12 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from haulgrid.session import shared_folder
 
@@ -37,14 +40,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows that a function is given at a time, so that what it makes of them stays small.
+AT_ONCE = 500
+
+
 def mapped(rows: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Apply a function to one batch of rows after the other."""
+    """Apply a function to some rows after the others.
+
+    Only the rows that the function is given are Python objects, not a whole batch of Spark's.
+    """
+    kinds = T.StructType.fromDDL(schema)
 
-    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(kinds)
         for batch in batches:
-            yield function(batch)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                some = batch.slice(at, AT_ONCE).to_pandas(integer_object_nulls=True)
+                yield from pa.Table.from_pandas(function(some), arrow, preserve_index=False).to_batches()
 
-    return rows.mapInPandas(over, schema)
+    return rows.mapInArrow(over, kinds)
 
 
 def lowered(text: str | Column) -> Column:

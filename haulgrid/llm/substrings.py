@@ -23,7 +23,7 @@ WINDOW = 50
 GRAM = 8
 #: Words of a shard, about, and distinct segments of an anchor beyond which its windows are dealt
 #: to shards one by one.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 250_000
 CROWDED = 2000
 #: Bytes whose words are hashed at a time.
 CHUNK = 1 << 20
@@ -101,21 +101,28 @@ def _split(text: str | None) -> list[bytes]:
 
 def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """The segments of each text, without their words; a segment's id is a 128-bit hash of them."""
-    columns = ["key", "segment", "doc_id", "text_hash", "first", "last"]
-
     def of(batch: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
-            words = _split(text)
-            if len(words) >= window:
-                key, first, last = anchors(words, window, gram)
-                joined = b" ".join(words)
-                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-                starts = np.concatenate(([0], ends[:-1] + 1))
-                spans = zip(starts[first].tolist(), ends[last + window - 1].tolist())
-                segment = [xxhash.xxh3_128_digest(joined[i:j]) for i, j in spans]
-                out.append(pd.DataFrame(dict(zip(columns, (key, segment, doc_id, text_hash, first, last)))))
-        return pd.concat(out) if out else pd.DataFrame(columns=columns)
+        texts = [_split(text) for text in batch["text"]]
+        long = np.array([len(words) >= window for words in texts], bool)
+        keys, segments, firsts, lasts = [], [], [], []
+        for words in (words for words, enough in zip(texts, long) if enough):
+            key, first, last = anchors(words, window, gram)
+            joined = b" ".join(words)
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+            starts = np.concatenate(([0], ends[:-1] + 1))
+            spans = zip(starts[first].tolist(), ends[last + window - 1].tolist())
+            segments += [xxhash.xxh3_128_digest(joined[i:j]) for i, j in spans]
+            keys.append(key)
+            firsts.append(first)
+            lasts.append(last)
+        many = [len(key) for key in keys]
+        none = np.zeros(0, np.int64)
+        return pd.DataFrame({
+            "key": np.concatenate([none, *keys]), "segment": segments,
+            "doc_id": np.repeat(batch["doc_id"].to_numpy()[long], many),
+            "text_hash": np.repeat(batch["text_hash"].to_numpy()[long], many),
+            "first": np.concatenate([none, *firsts]), "last": np.concatenate([none, *lasts]),
+        })
 
     return mapped(
         docs.where("doc_id is not null"), of,
@@ -127,15 +134,14 @@ def _segment_rows(docs: DataFrame, window: int) -> DataFrame:
     """Cut the listed segments out of each text."""
     def of(batch: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc_id, text, wanted in zip(batch["doc_id"], batch["text"], batch["wanted"]):
-            words = _split(text)
-            for row in wanted:
-                text_of = b" ".join(words[row["first"]: row["last"] + window]).decode()
-                out.append((row["key"], row["segment"], doc_id, text_of))
+        for row in batch.itertuples(index=False):
+            words = _split(row.text)
+            for key, segment, first, last in zip(row.key, row.segment, row.first, row.last):
+                out.append((key, segment, row.doc_id, b" ".join(words[first: last + window]).decode()))
         return pd.DataFrame(out, columns=["key", "segment", "first_doc", "words"])
 
     return mapped(
-        docs.select("doc_id", "text", "wanted"), of, "key long, segment binary, first_doc long, words string"
+        docs.select("doc_id", "text", "wanted.key", "wanted.segment", "wanted.first", "wanted.last"), of, "key long, segment binary, first_doc long, words string"
     )
 
 
