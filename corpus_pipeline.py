@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulgrid.llm import decontaminate, mixing, simhash, substrings, toxicity
@@ -13,10 +13,20 @@ from haulgrid.llm.common import table
 from haulgrid.session import shared_folder
 
 
+def beside_text(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all columns but the text in one, so that no operator's columns clash."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "doc_id", "text")
+
+
+def restored(docs: DataFrame, text: Column) -> list[Column]:
+    """The columns of ``docs`` again, with this text."""
+    return [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not find toxic."""
-    scored = toxicity.toxicity(docs.select(F.struct("*").alias("row"), "doc_id", "text"), table(spark, sf_dir, "labels"))
-    return scored.where("not toxic").select("row.*")
+    scored = toxicity.toxicity(beside_text(docs), table(spark, sf_dir, "labels"))
+    return scored.where("not toxic").select(*restored(docs, F.col("text")))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,15 +39,11 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     Texts from which nothing is removed stay as they are, blanks included.
     """
-    found = substrings.without_repeats(docs.select(F.struct("*").alias("row"), "doc_id", "text"))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    new = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept").cast("long"))}
-    columns = [
-        F.coalesce(new["n_chars"], F.col("row.n_chars")).alias(name) if name == "n_chars"
-        else text.alias(name) if name == "text" else F.col("row")[name].alias(name)
-        for name in docs.columns
-    ]
-    return found.where("n_removed = 0 or n_removed < n_words").select(*columns)
+    found = substrings.without_repeats(beside_text(docs))
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
+    left = found.where("n_removed = 0 or n_removed < n_words").select(*restored(docs, text), cut.alias("_cut"))
+    return left.withColumn("n_chars", F.when(F.col("_cut"), F.length("text")).otherwise(F.col("n_chars"))).drop("_cut")
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
