@@ -1,4 +1,4 @@
-"""License scans: paragraphs classified by licence family and confirmed against templates.
+"""License scans: lines and runs of lines classified by licence family, confirmed by templates.
 
 A softmax regression over the words and word pairs of the templates tells families apart; what no
 template has, and how much of a paragraph that is, speaks for the class unknown, which is learned
@@ -25,14 +25,18 @@ VARIANTS = 60
 PROBABILITY = 0.5
 #: Share of a template's words and word pairs that a paragraph must have.
 CONFIRMED = 0.6
+#: So many of them at least, or all of a shorter template's, as a few common words confirm nothing.
+LEAST_GRAMS = 5
 
 #: The usual notices of licence families, as projects state them.
 TEMPLATES = {
     "AGPL-3.0": [
+        "GNU Affero General Public License",
         "Licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
     "Apache-2.0": [
+        "Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "Released under the Apache License 2.0.",
@@ -40,50 +44,63 @@ TEMPLATES = {
     ],
     "BSD": [
         "Released under the BSD License.",
+        "Licensed under the 3-Clause BSD License.",
+        "Licensed under the 2-Clause BSD License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "CC-BY": [
+        "CC BY 4.0",
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ],
     "CC-BY-NC": [
+        "CC BY-NC 4.0",
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
     "CC-BY-SA": [
+        "CC BY-SA 4.0",
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
     "CC0": [
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "CC0 1.0 Universal",
         "Released under CC0 1.0 Universal.",
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
         "Licensed under the GNU General Public License, version 2.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU General Public License",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "LGPL": [
+        "GNU Lesser General Public License",
         "Licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
     ],
     "MIT": [
+        "The MIT License (MIT)",
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "SPDX-License-Identifier: MIT",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Mozilla Public License, version 2.0",
         "Licensed under the Mozilla Public License, version 2.0.",
     ],
     "Proprietary": [
+        "All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced or distributed without prior written permission.",
     ],
     "Unlicense": [
+        "Released under the Unlicense.",
         "This is free and unencumbered software released into the public domain.",
     ],
 }
@@ -105,6 +122,23 @@ def paragraphs(text: str | None) -> list[str]:
     return [line for line in (text or "").split("\n") if line.strip()]
 
 
+def blocks(text: str | None) -> list[list[tuple[int, str, list[str]]]]:
+    """The lines of a text as (place, line, words), in runs that lines without words separate.
+
+    The place counts the lines that have something in them.
+    """
+    found, place, ended = [], 0, True
+    for line in (text or "").split("\n"):
+        words = words_of(line)
+        if words:
+            if ended:
+                found.append([])
+            found[-1].append((place, line, words))
+        ended = not words
+        place += bool(line.strip())
+    return found
+
+
 class Licenses:
     """Softmax regression over the templates' grams, with a temperature, and the templates."""
 
@@ -115,6 +149,8 @@ class Licenses:
         }
         every = set().union(*[found for texts in self.templates.values() for found in texts])
         self.number = {gram: at for at, gram in enumerate(sorted(every, key=str))}
+        #: Words of the longest notice: how far a notice may reach over line breaks.
+        self.reach = max((len(words_of(text)) for texts in templates.values() for text in texts), default=0)
         # Besides the grams: the share of a paragraph's grams that no template has, and a constant.
         self.weights = np.zeros((len(self.number) + 2, len(self.families)))
         self.temperature = 1.0
@@ -152,7 +188,9 @@ class Licenses:
 
     def classify(self, paragraph: str) -> tuple[str, float]:
         """(family, probability); unknown unless a template of the family confirms it."""
-        found = grams(words_of(paragraph))
+        return self._classified(grams(words_of(paragraph)))
+
+    def _classified(self, found: set) -> tuple[str, float]:
         known, strange = self._entries(found)
         if not known:
             return UNKNOWN, 0.0
@@ -165,9 +203,57 @@ class Licenses:
     def confirms(self, family: str, found: set) -> bool:
         """Whether most of some template is in the paragraph."""
         return any(
-            len(found & template) >= CONFIRMED * len(template) for template in self.templates[family]
+            len(found & template) >= max(CONFIRMED * len(template), min(LEAST_GRAMS, len(template)))
+            for template in self.templates[family]
         )
 
+    def scan(self, text: str | None) -> list[tuple[int, str, float, str]]:
+        """(place, family, probability, paragraph) of each line that is a notice, and of each run of
+        lines over which one is wrapped; a run has no line that is a notice by itself."""
+        out = []
+        for block in blocks(text):
+            rest: list = []
+            for line in block:
+                family, probability = self._classified(grams(line[2]))
+                if family != UNKNOWN:
+                    out.append((line[0], family, probability, line[1]))
+                    out += self._wrapped(rest)
+                    rest = []
+                else:
+                    rest.append(line)
+            out += self._wrapped(rest)
+        return sorted(out)
+
+    def _wrapped(self, lines: list) -> list[tuple[int, str, float, str]]:
+        """The runs of two lines or more that are notices, closest to a template first, none twice."""
+        # What confirms a template has a pair of its words; where no line begins one, none is near.
+        pairs = [
+            any(pair in self.number for pair in zip(words, [*words[1:], *(lines[at + 1][2][:1] if at + 1 < len(lines) else [])]))
+            for at, (_, _, words) in enumerate(lines)
+        ]
+        runs = []
+        for first in range(len(lines) - 1):
+            if not pairs[first]:
+                continue
+            # Of the first and last line only what is near the break can belong to the notice.
+            words = lines[first][2][-self.reach:]
+            for last in range(first + 1, len(lines)):
+                found = grams([*words, *lines[last][2][:self.reach]])
+                family, probability = self._classified(found)
+                if family != UNKNOWN:
+                    close = max(len(found & t) / len(found | t) for t in self.templates[family])
+                    runs.append((-close, first, last, family, probability))
+                words = [*words, *lines[last][2]]
+                if len(words) - len(lines[first][2][-self.reach:]) >= self.reach:
+                    break
+        out, taken = [], set()
+        for _, first, last, family, probability in sorted(runs):
+            if taken.isdisjoint(range(first, last + 1)):
+                taken.update(range(first, last + 1))
+                paragraph = "\n".join(line for _, line, _ in lines[first:last + 1])
+                out.append((lines[first][0], family, probability, paragraph))
+        return out
+
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
     power = np.exp(scores - scores.max(axis=1, keepdims=True))
@@ -177,13 +263,14 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
 def variants(templates: dict[str, list[str]], filler: list[str], seed: int = 3):
     """Templates as they occur: whole, with words lost or changed, within other words."""
     random = np.random.default_rng(seed)
+    filler = np.array(filler)
     for family in sorted(templates):
         for text in templates[family]:
             words = words_of(text)
             for number in range(VARIANTS):
                 loss = 0.0 if number % 3 == 0 else random.uniform(0, 0.25)
                 kept = [word for word in words if random.random() >= loss] or words
-                if filler and number % 2:
+                if len(filler) and number % 2:
                     extra = random.choice(filler, random.integers(1, 12)).tolist()
                     at = random.integers(len(extra) + 1)
                     kept = [*extra[:at], *kept, *extra[at:]]
@@ -222,9 +309,9 @@ def fit_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None)
 def license_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """Add n_paragraphs, licenses and families to each row of ``docs`` (text).
 
-    A paragraph is a line that is not blank. licenses lists what was found in the whole text: place
-    of the paragraph, family, probability and the paragraph; families the different families,
-    sorted. A NULL or empty text has no paragraph. Repeated rows come out alike. Other columns pass
+    n_paragraphs counts the lines that are not blank. licenses lists what was found in the whole
+    text: place of the line, family, probability and the line; of a notice wrapped over a run of
+    lines the first one's place and all of them. families has the different families, sorted. A NULL or empty text has no paragraph. Repeated rows come out alike. Other columns pass
     through, but for those of the three names, which are replaced.
     """
     model = fit_licenses(docs, templates)
@@ -236,12 +323,8 @@ def license_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None)
     def scanned(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
-            lines, found = paragraphs(text), []
-            for place, line in enumerate(lines):
-                family, probability = model.classify(line)
-                if family != UNKNOWN:
-                    found.append({"place": place, "family": family, "probability": probability, "paragraph": line})
-            out.append((len(lines), found, sorted({row["family"] for row in found})))
+            found = [dict(zip(("place", "family", "probability", "paragraph"), row)) for row in model.scan(text)]
+            out.append((len(paragraphs(text)), found, sorted({row["family"] for row in found})))
         return pd.DataFrame(out, columns=["n_paragraphs", "licenses", "families"])
 
     mine = [name for name in docs.columns if name not in ("n_paragraphs", "licenses", "families")]
