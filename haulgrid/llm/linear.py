@@ -10,9 +10,11 @@ class SparseRows:
 
     def __init__(self, rows: list, features: int, dense: np.ndarray | None = None):
         self.number, self.features = len(rows), features
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.row = np.repeat(np.arange(len(rows)), sizes)
+        self.sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         self.feature = np.concatenate([np.asarray(row, np.int64) for row in rows] or [np.zeros(0, np.int64)])
+        # The entries again, feature by feature, so that both ways sums run over neighbours.
+        self.row = np.repeat(np.arange(len(rows)), self.sizes)[np.argsort(self.feature, kind="stable")]
+        self.times = np.bincount(self.feature, minlength=features)
         self.dense = np.zeros((len(rows), 0)) if dense is None else dense
 
     def with_dense(self, columns: list[np.ndarray]) -> "SparseRows":
@@ -23,14 +25,22 @@ class SparseRows:
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         """Weights are those of the features, of the dense columns and the intercept, in that order."""
-        sums = np.bincount(self.row, weights[self.feature], minlength=self.number)
+        sums = _sums(weights, self.feature, self.sizes)
         return sums + self.dense @ weights[self.features:-1] + weights[-1]
 
     def gradient(self, errors: np.ndarray) -> np.ndarray:
-        sparse = np.bincount(self.feature, errors[self.row], minlength=self.features)
+        sparse = _sums(errors, self.row, self.times)
         return np.concatenate((sparse, self.dense.T @ errors, [errors.sum()]))
 
 
+def _sums(values: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the values at the places, in runs of these sizes."""
+    out, filled = np.zeros(len(sizes)), np.flatnonzero(sizes)
+    if len(filled):
+        out[filled] = np.add.reduceat(np.take(values, at), (np.cumsum(sizes) - sizes)[filled])
+    return out
+
+
 def sigmoid(scores: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(scores, -50, 50)))
 
@@ -42,10 +52,11 @@ def logit(shares: np.ndarray) -> np.ndarray:
 
 def fit(
     rows: SparseRows, labels: np.ndarray, counts: np.ndarray | None = None,
-    ridge: float = 1e-4, steps: int = 150,
+    ridge: float = 1e-4, steps: int = 400, close: float = 1e-6,
 ) -> np.ndarray:
     """Weights of least mean logistic loss plus ridge, by accelerated gradient steps.
 
+    They end when no slope is as steep as ``close``, or after so many.
     Steps are scaled by the curvature of each weight, bounded by how often its feature occurs.
     With labels of one kind only the intercept is fitted, to a probability short of certainty;
     without labels it is that of never.
@@ -59,7 +70,7 @@ def fit(
     if not total or mean in (0.0, 1.0):
         return weights
     # Diagonal bound of the Hessian: each row's curvature spread over its entries.
-    entries = np.bincount(rows.row, minlength=rows.number) + np.abs(rows.dense).sum(axis=1) + 1
+    entries = rows.sizes + np.abs(rows.dense).sum(axis=1) + 1
     spread = counts * entries / 4 / total
     scale = rows.with_dense([np.abs(column) for column in rows.dense.T]).gradient(spread) + ridge
     ahead, before, pace = weights.copy(), weights, 1.0
@@ -67,7 +78,10 @@ def fit(
     pull[-1] = 0.0
     for _ in range(steps):
         errors = counts * (sigmoid(rows.scores(ahead)) - labels) / total
-        weights = ahead - (rows.gradient(errors) + pull * ahead) / scale
+        slope = rows.gradient(errors) + pull * ahead
+        weights = ahead - slope / scale
+        if np.abs(slope).max() < close:
+            break
         faster = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
         ahead = weights + (pace - 1) / faster * (weights - before)
         before, pace = weights, faster

@@ -20,10 +20,11 @@ from haulgrid.llm.linear import SparseRows, fit, logit, sigmoid
 
 #: Labelled texts that a chain is fitted on, at most about. Scoring covers all texts.
 SAMPLE = 10_000
-#: Features of each category's model; each is in so many of the sampled texts.
-FEATURES = 200
+#: Each feature is in so many of the sampled texts.
 LEAST_TEXTS = 5
-FOLDS = 3
+FOLDS = 4
+#: Words whose features a worker keeps at a time.
+KEPT_WORDS = 100_000
 #: What is rejected as toxic.
 THRESHOLD = 0.4
 
@@ -66,12 +67,19 @@ class Chain:
     def __init__(self, names: list[str], vocabulary: list[str], weights: list[np.ndarray]):
         self.names, self.weights = names, weights
         self.number = {feature: at for at, feature in enumerate(vocabulary)}
-        # Most words begin like no feature, and need no closer look.
-        self.heads = {feature[:3] for feature in vocabulary}
+        self.of_word: dict[str, list[int]] = {}
 
     def features(self, text: str | None) -> list[int]:
-        words = {word for word in words_in(text) if (word + END)[:3] in self.heads}
-        return [self.number[feature] for feature in features_of(words) & self.number.keys()]
+        found: set[int] = set()
+        for word in words_in(text):
+            mine = self.of_word.get(word)
+            if mine is None:
+                if len(self.of_word) >= KEPT_WORDS:
+                    self.of_word.clear()
+                mine = [self.number[feature] for feature in features_of({word}) & self.number.keys()]
+                self.of_word[word] = mine
+            found.update(mine)
+        return list(found)
 
     def probabilities(self, texts) -> np.ndarray:
         rows = SparseRows([self.features(text) for text in texts], len(self.number))
@@ -82,8 +90,8 @@ class Chain:
         return np.column_stack(out) if out else np.zeros((rows.number, 0))
 
 
-def chosen_features(known: DataFrame, names: list[str], features: int = FEATURES) -> list[str]:
-    """The features whose presence tells most about some category, by their chi-square statistic.
+def chosen_features(known: DataFrame, names: list[str]) -> list[str]:
+    """All features whose presence tells about some category, by their chi-square statistic.
 
     Those that tell no more than the best of as many chance features would are left out.
     """
@@ -115,8 +123,7 @@ def chosen_features(known: DataFrame, names: list[str], features: int = FEATURES
         chi = (F.col(name) - F.col("n") * share) ** 2 / (
             F.col("n") * share * (1 - share) * (1 - F.col("n") / F.lit(total + 1.0))
         )
-        best = counts.where(chi > chance).orderBy(F.desc(chi), "feature").limit(features)
-        chosen.update(row["feature"] for row in best.select("feature").collect())
+        chosen.update(row["feature"] for row in counts.where(chi > chance).select("feature").collect())
     return sorted(chosen)
 
 
@@ -125,6 +132,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, names: list[str], sample: int
 
     If there are more labels than ``sample``, a draw by hash of so many is used, so a run again
     fits the same model. The draw bounds what is broadcast and what comes back to the driver.
+    Texts with the same features and labels are one row there, with their number.
     """
     share = min(1.0, sample / max(labels.count(), 1))
     drawn = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
@@ -142,22 +150,23 @@ def fit_chain(docs: DataFrame, labels: DataFrame, names: list[str], sample: int
         return out
 
     kinds = ", ".join(f"{name} int" for name in names)
-    rows = mapped(known, listed, f"doc_id long, {kinds}, features array<int>")
-    rows = rows.orderBy("doc_id", "features").toPandas()
-    sparse = list(rows["features"])
-    folds = np.arange(len(rows)) % FOLDS
+    rows = mapped(known.select("text", *names), listed, f"{kinds}, features array<int>")
+    rows = rows.groupBy(*names, "features").agg(F.count("*").alias("n"))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("features"), F.lit(FOLDS)).cast("int"))
+    rows = rows.orderBy("features", *names).toPandas()
+    sparse, folds, times = list(rows["features"]), rows["fold"].to_numpy(), rows["n"].to_numpy(float)
     matrix, earlier = SparseRows(sparse, len(vocabulary)), []
     for name in names:
         y = rows[name].to_numpy(float)
         whole = matrix.with_dense(earlier)
-        chain.weights.append(fit(whole, y))
+        chain.weights.append(fit(whole, y, times))
         if name == names[-1]:
             break  # nothing after it needs its out-of-fold probabilities
         outside = np.zeros(len(y))
         for fold in range(FOLDS):
             inside = np.flatnonzero(folds != fold)
             part = SparseRows([sparse[i] for i in inside], len(vocabulary), whole.dense[inside])
-            outside[folds == fold] = sigmoid(whole.scores(fit(part, y[inside])))[folds == fold]
+            outside[folds == fold] = sigmoid(whole.scores(fit(part, y[inside], times[inside])))[folds == fold]
         earlier = [*earlier, logit(outside)]
     return chain
 
