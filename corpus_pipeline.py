@@ -30,7 +30,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints link: the one of smallest doc_id."""
+    """One document of each group whose fingerprints link, of smallest doc_id; and one without an id."""
     return simhash.one_of_each(docs)
 
 

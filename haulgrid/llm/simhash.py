@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from haulgrid.llm.common import mapped, partitions, stored, table
@@ -58,15 +57,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for each document; fp holds the 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *hashes: str) -> DataFrame:
+    """(doc_id, fp) and the columns of hashes of each document; fp holds the 64 bits as a signed number."""
 
     def of(batch: pd.DataFrame) -> pd.DataFrame:
         prints = np.array([fingerprint(text, shingle) for text in batch["text"]], np.uint64)
-        return pd.DataFrame({"doc_id": batch["doc_id"], "fp": prints.view(np.int64)})
+        return batch[["doc_id", *hashes]].assign(fp=prints.view(np.int64))
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return mapped(rows, of, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *hashes)
+    return mapped(rows, of, ", ".join(["doc_id long", *[f"{name} long" for name in hashes], "fp long"]))
 
 
 def gray_rank(prints: np.ndarray) -> np.ndarray:
@@ -236,33 +235,47 @@ def near_duplicates(
     are one fingerprint before anything is compared.
     """
     every = stored(fingerprints(docs, shingle), "fingerprints")
-    distinct = stored(every.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(distinct.select("fp"), distance, cell))
-    member = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    member = _rooted(every.groupBy("fp").agg(F.min("doc_id").alias("first")), distance, cell)
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(member.join(least, "root").select("fp", "component_id"), "named")
     return every.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(distinct: DataFrame, distance: int, cell: int) -> DataFrame:
+    """Rows of one fingerprint each, with the root of its component."""
+    distinct = stored(distinct, "distinct")
+    roots = components(links(distinct.select("fp"), distance, cell))
+    member = distinct.join(roots, F.col("fp") == F.col("node"), "left")
+    return member.select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their near-duplicate component, one row for each id.
+    """One row of ``docs`` for each near-duplicate component: that of least doc_id.
 
-    Rows without a doc_id are in no component that an id could name, and all stay. Of several rows
-    with the id that stays, the one of least text hash stays. All columns pass through.
+    Of several with this id in the component the one of least text hash stays, and of those the
+    one of least hash of all columns. Components whose least ids are equal keep a row each. Of its
+    rows without a doc_id, which its id does not name, a component keeps one too, by the same
+    order. All columns pass through.
     """
-    found = stored(near_duplicates(docs, shingle, distance), "components")
-    leaders = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    repeated = stored(leaders.where("_rows > 1").select("doc_id"), "repeated")
-    named = docs.join(leaders.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if not repeated.isEmpty():
-        first = named.join(repeated, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id")
-        first = first.withColumn("n", F.row_number().over(
-            W.partitionBy("doc_id").orderBy(F.xxhash64("row.text"), F.xxhash64("row"))
-        )).where("n = 1").select("row.*")
-        named = named.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(first)
-    return named.union(docs.where("doc_id is null"))
+    free = "_".join(["_", *docs.columns])
+    # The hash passes over NULLs, so it also takes which columns are.
+    key = {
+        f"{free}id": F.col("doc_id").cast("long"), f"{free}text": F.xxhash64(F.col("text").cast("string")),
+        f"{free}row": F.xxhash64(*docs.columns, *[F.col(name).isNull() for name in docs.columns]),
+    }
+    names = list(key)
+    prints = fingerprints(docs.withColumns(key), shingle, *names[1:]).withColumnRenamed("doc_id", names[0])
+    one = F.struct(*names)
+    kinds = {"named": F.col(names[0]).isNotNull(), "nameless": F.col(names[0]).isNull()}
+    # Copies are one row of their fingerprint before it meets its root.
+    least = prints.groupBy("fp").agg(*[F.min(F.when(which, one)).alias(kind) for kind, which in kinds.items()])
+    least = _rooted(least, distance, CELL).groupBy("root").agg(*[F.min(kind).alias(kind) for kind in kinds])
+    leaders = least.select(F.explode(F.array(*kinds)).alias("key")).where("key is not null").select("key.*")
+    leaders = stored(leaders, "leaders").select(*[F.col(name).alias(f"{name}_") for name in names])
+    # Rows alike in the key are equal; each task keeps one of them before they meet.
+    rows = docs.withColumns(key).groupBy(*names).agg(F.first(F.struct(*docs.columns)).alias("row"))
+    same = [rows[name].eqNullSafe(leaders[f"{name}_"]) for name in names]
+    return rows.join(leaders, same, "left_semi").select("row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
