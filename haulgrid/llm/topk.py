@@ -47,9 +47,8 @@ def _first_ids(rows: DataFrame, most: int) -> DataFrame:
     )
 
 
-def _lists(rows: DataFrame, name: str, lists: int) -> DataFrame:
-    """One row per node: the part of the vector that the node holds."""
-    width = F.greatest(F.ceil(F.size("vector") / lists).cast("int"), F.lit(1))
+def _lists(rows: DataFrame, name: str, lists: int, width: int) -> DataFrame:
+    """One row per node: the part of the vector that the node holds, of ``width`` dimensions."""
     part = F.struct(F.col("node"), F.slice("vector", F.col("node") * width + 1, width).alias("part"))
     rows = rows.withColumn("node", F.explode(F.sequence(F.lit(0), F.lit(lists - 1))))
     return rows.withColumn("part", part["part"]).drop("vector")
@@ -79,12 +78,12 @@ def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def _dealt(queries: DataFrame, vectors: DataFrame, blocks: tuple[int, int], lists: int):
+def _dealt(queries: DataFrame, vectors: DataFrame, blocks: tuple[int, int], lists: int, width: int):
     """Both sides cogrouped by (node, block of queries, block of vectors)."""
     many_queries, many_vectors = blocks
 
     def over(rows: DataFrame, key: str, own: str, mine: int, other: str, others: int) -> DataFrame:
-        return _lists(rows, key, lists).withColumns({
+        return _lists(rows, key, lists, width).withColumns({
             own: F.pmod(F.xxhash64(key), F.lit(mine)).cast("int"),
             other: F.explode(F.sequence(F.lit(0), F.lit(others - 1))),
         }).groupBy("node", "qblock", "vblock")
@@ -114,9 +113,11 @@ def best(queries: DataFrame, vectors: DataFrame, k: int, lists: int) -> DataFram
 
     ``queries`` has qid and vector, ``vectors`` has vid and vector, whole numbers, each vid once.
     """
-    blocks = (
-        max(1, -(-queries.count() // QUERY_BLOCK)), max(1, -(-vectors.count() // VECTOR_BLOCK))
-    )
+    number, longest = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
+    blocks = (max(1, -(-queries.count() // QUERY_BLOCK)), max(1, -(-number // VECTOR_BLOCK)))
+    # One width for all, so that a node holds the same dimensions of every vector. What a query has
+    # beyond the longest vector meets nothing.
+    width = max(1, -(-(longest or 0) // lists))
 
     def leaders(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -141,7 +142,7 @@ def best(queries: DataFrame, vectors: DataFrame, k: int, lists: int) -> DataFram
         })
 
     # Phase one: each node's highest parts name candidates, whose scores give the cutoff.
-    first = _dealt(queries, vectors, blocks, lists).applyInPandas(
+    first = _dealt(queries, vectors, blocks, lists, width).applyInPandas(
         leaders, "qid long, node int, vid long, part long"
     )
     first = _highest(first, ["qid", "node"], [F.desc("part"), F.asc("vid")], k)
@@ -158,7 +159,7 @@ def best(queries: DataFrame, vectors: DataFrame, k: int, lists: int) -> DataFram
     # Phase two: entries that reach the node's even share of the cutoff, in whole numbers.
     even = F.expr(f"(least - pmod(least, {lists})) div {lists}")
     share = cutoffs.select("qid", "least", even.alias("cutoff"))
-    entries = _dealt(queries.join(share.select("qid", "cutoff"), "qid"), vectors, blocks, lists)
+    entries = _dealt(queries.join(share.select("qid", "cutoff"), "qid"), vectors, blocks, lists, width)
     entries = entries.applyInPandas(above, "qid long, vid long, part long")
     # Phase three: known parts plus less than a share for each part that is missing.
     known = entries.groupBy("qid", "vid").agg(F.sum("part").alias("known"), F.count("*").alias("parts"))
