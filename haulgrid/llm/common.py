@@ -44,7 +44,9 @@ def partitions(spark: SparkSession) -> int:
 AT_ONCE = 500
 
 
-def mapped(rows: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+def mapped(
+    rows: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, at_once: int = AT_ONCE
+) -> DataFrame:
     """Apply a function to some rows after the others.
 
     Only the rows that the function is given are Python objects, not a whole batch of Spark's.
@@ -54,8 +56,8 @@ def mapped(rows: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], sc
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(kinds)
         for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                some = batch.slice(at, AT_ONCE).to_pandas(integer_object_nulls=True)
+            for at in range(0, batch.num_rows, at_once):
+                some = batch.slice(at, at_once).to_pandas(integer_object_nulls=True)
                 yield from pa.Table.from_pandas(function(some), arrow, preserve_index=False).to_batches()
 
     return rows.mapInArrow(over, kinds)

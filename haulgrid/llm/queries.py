@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulgrid.llm import decontaminate, language, licenses, mixing, preferences, quality, substrings, topk, toxicity
+from haulgrid.llm import (
+    decontaminate, language, licenses, merkle, mixing, preferences, quality, substrings, topk, toxicity,
+)
 from haulgrid.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_preferences": preferences.op10_preferences,
+    "op12_merkle": merkle.op12_merkle,
 }
 
 STATEMENTS: dict[str, str] = {
@@ -27,4 +30,5 @@ STATEMENTS: dict[str, str] = {
     "op6_substring_dedup": substrings.SQL,
     "op7_decontamination": decontaminate.SQL,
     "op10_preferences": preferences.SQL,
+    "op12_merkle": merkle.SQL,
 }
