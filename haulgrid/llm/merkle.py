@@ -222,12 +222,13 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     other = F.lit(None).cast("string") if tampered is None else tampered
     # The rows meet as digests of 32 bytes; the texts stay where they are read.
-    leaves = docs.select(
+    # They are written first, as dealing them in ranges reads them twice.
+    leaves = stored(docs.select(
         F.col("lang").cast("string").alias("family"), "doc_id",
         leaf_of(*map(F.col, FIELDS)).alias("digest"),
         F.when(other.isNotNull(), leaf_of(*map(F.col, FIELDS[:-1]), other)).alias("replacement"),
-    )
-    ordered = numbered(leaves, ["family", "doc_id", "digest"], "merkle-leaves")
+    ), "merkle-leaves")
+    ordered = numbered(leaves, ["family", "doc_id", "digest"], "merkle-ordered")
     first = stored(ordered.groupBy("family").agg(F.min("number").alias("start")), "merkle-families")
     first = first.withColumnRenamed("family", "of")
     placed = ordered.join(first, ordered["family"].eqNullSafe(first["of"])).select(

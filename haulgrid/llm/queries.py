@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from haulgrid.llm import (
-    decontaminate, language, licenses, merkle, mixing, preferences, quality, substrings, topk, toxicity,
+    decontaminate, language, licenses, merkle, mixing, packing, preferences, quality, spelling, substrings, topk, toxicity,
 )
 from haulgrid.llm.simhash import op3_simhash
 
@@ -22,7 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_preferences": preferences.op10_preferences,
+    "op11_packing": packing.op11_packing,
     "op12_merkle": merkle.op12_merkle,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 STATEMENTS: dict[str, str] = {
@@ -31,4 +33,5 @@ STATEMENTS: dict[str, str] = {
     "op7_decontamination": decontaminate.SQL,
     "op10_preferences": preferences.SQL,
     "op12_merkle": merkle.SQL,
+    "op13_spelling": spelling.SQL,
 }
