@@ -40,51 +40,94 @@ STEP = 1 << 16
 #: Tasks whose last pieces are packed together.
 TASKS = 1024
 
-#: Words whose ids a worker keeps at a time.
-KEPT_WORDS = 200_000
-#: Letters of a text that are tokenized at a time, up to the next blank, and of texts at a time.
+#: Words whose ids a worker keeps at a time, with marks and without, and their letters at most.
+KEPT_WORDS = 300_000
+KEPT_PLAIN = 600_000
+KEPT_LETTERS = 40
+#: Letters of a text that are split into words at a time, up to the next blank.
 SEGMENT = 1 << 20
 
 WIDTH = 4  # bytes of an id
 _BLANK = re.compile(r"[ \t\n\r]")
 
 
-class Encoder:
-    """The ids of whole texts, as little-endian unsigned 32-bit numbers.
+#: Words whose pieces the tokenizer finds by letters alone: some that no normal form changes, with
+#: ASCII marks before and behind, each run of them a piece of its own; or digits, each one a piece. An
+#: apostrophe before letters would take some of them along.
+_WORD = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_DIGITS = re.compile(r"[0-9]+")
+
+
+class Encoder(dict):
+    """The ids of words, as little-endian unsigned 32-bit numbers; of texts by way of their words.
 
     The tokenizer lets no token reach over white space and drops it, so a text's ids are those of
-    its words one after the other; each word is tokenized when a worker first sees it.
+    its words one after the other. A worker keeps the ids of the words that it has seen. A plain
+    word goes to the tokenizer's model alone; any other goes through all of its steps.
     """
 
     def __init__(self, model: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(model), {}
-
-    def _learn(self, words: set[str]) -> None:
-        new = list(words - self.known.keys())
-        for at in range(0, len(new), 1000):
-            some = new[at:at + 1000]
-            for word, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[word] = b"".join(i.to_bytes(WIDTH, "little") for i in found.ids)
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        """The ids of some short texts."""
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        self._learn(set().union(*split))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
-
-    def segments(self, text: str) -> Iterator[str]:
-        """A text cut at blanks."""
-        at = 0
-        while at < len(text):
-            blank = _BLANK.search(text, at + SEGMENT)
-            end = blank.start() if blank else len(text)
-            yield text[at:end]
-            at = end
+        self.tokenizer = Tokenizer.from_str(model)
+        self.bytes = [i.to_bytes(WIDTH, "little") for i in range(self.tokenizer.get_vocab_size())]
+        # What the model is given for a letter that is not ASCII.
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {at: split(chr(at))[0][0] for at in range(0xC0, 0x100) if chr(at) not in "×÷"}
+        # Such a token in a text is itself, whatever it is made of.
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return b"".join([self.bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+    def _letters(self, word: str) -> bytes:
+        ids = self.plain.get(word)
+        if ids is None:
+            if len(self.plain) > KEPT_PLAIN:
+                self.plain.clear()
+            given = word if word.isascii() else word.translate(self.letters)
+            ids = b"".join([self.bytes[token.id] for token in self.tokenizer.model.tokenize(given)])
+            if len(word) <= KEPT_LETTERS:
+                self.plain[word] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        """Learn the ids of a word."""
+        match = _WORD.fullmatch(word)
+        if match and not any(token in word for token in self.special):
+            before, letters, behind = match.groups()
+            ids = self._letters(letters.lower())
+            if before:
+                ids = self[before] + ids
+            if behind:
+                ids += self[behind]
+        elif _DIGITS.fullmatch(word) and len(word) > 1:
+            ids = b"".join([self[digit] for digit in word])
+        else:
+            ids = self._whole(word)
+        if len(word) <= KEPT_LETTERS:
+            self[word] = ids
+        return ids
+
+    def encoded(self, text: str) -> bytes:
+        """The ids of a text."""
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.__getitem__, words))
+
+
+def segments(text: str) -> Iterator[str]:
+    """A text cut at blanks."""
+    at = 0
+    while at < len(text):
+        blank = _BLANK.search(text, at + SEGMENT)
+        end = blank.start() if blank else len(text)
+        yield text[at:end]
+        at = end
 
 
 @dataclass(frozen=True)
@@ -264,20 +307,9 @@ def pieces(docs: DataFrame, model: str, end: int = END, sizes: tuple[int, ...] =
         writer = _Writer(first, to_arrow_schema(kinds))
 
         def encoded() -> Iterator[tuple[object, bytes]]:
-            """Ids of documents; short texts are tokenized together."""
-            held, letters = [], 0
             for batch in batches:
                 for doc_id, text in zip(batch.column(0), batch.column(1)):
-                    doc_id, text = doc_id.as_py(), text.as_py() or ""
-                    if len(text) > SEGMENT:
-                        yield doc_id, b"".join(encoder.encoded([part])[0] for part in encoder.segments(text))
-                        continue
-                    held.append((doc_id, text))
-                    letters += len(text)
-                    if letters > SEGMENT:
-                        yield from zip([d for d, _ in held], encoder.encoded([t for _, t in held]))
-                        held, letters = [], 0
-            yield from zip([d for d, _ in held], encoder.encoded([t for _, t in held]))
+                    yield doc_id.as_py(), b"".join(map(encoder.encoded, segments(text.as_py() or "")))
 
         for doc_id, ids in encoded():
             ids += end.to_bytes(WIDTH, "little")

@@ -33,6 +33,15 @@ def ids_of(data):
     return [int.from_bytes(data[at:at + 4], "little") for at in range(0, len(data), 4)]
 
 
+def test_words_by_the_model_alone(model):
+    random.seed(2)
+    letters = "abcXYZéÀßÿ×÷'._-<|>19 \u0301İ"
+    encoder = packing.Encoder(model)
+    for _ in range(4000):
+        text = "".join(random.choice(letters) for _ in range(random.randint(1, 9)))
+        assert ids_of(encoder.encoded(text)) == whole_ids(text)[:-1], text
+
+
 def check_sequences(rows):
     """Sequences are gapless and short enough; returns the ids that padding takes and all ids."""
     sequences = defaultdict(list)
@@ -80,9 +89,11 @@ def test_odd_texts(spark, model, monkeypatch):
     monkeypatch.setattr(packing, "SEGMENT", 500)
     monkeypatch.setattr(packing, "POOL", 3000)
     monkeypatch.setattr(packing, "KEPT_WORDS", 20)
+    monkeypatch.setattr(packing, "KEPT_PLAIN", 7)
+    monkeypatch.setattr(packing, "KEPT_LETTERS", 5)
     random.seed(11)
     strange = ["áb", "́x", "ΟΔΟΣ", "I'll'LL", "<|endoftext|>", "x<|startoftext|>y", " ", " ", "\x1c", "\x85", "123", "🙂🙂",
-               "ﬁ", "中文字", "\n", "\t\t", "  ", "don't", "ǅ", "İ", "​", "…!?"]
+               "ﬁ", "中文字", "\n", "\t\t", "  ", "don't", "'tis", "('s", "Dogs'", "((Äß!?", "×a÷", "a_b", "_x_", "ÀÉÎ.", "12,5", "É", "\u0338<", "ǅ", "İ", "​", "…!?"]
     rows = [(i, "".join(random.choice(strange) + random.choice(["", " ", "\n"]) for _ in range(random.randint(1, 400)))) for i in range(40)]
     rows += [(None, None), (None, ""), (7, "a" * 9000), (7, "word " * 5000), (7, "word " * 5000), (8, " " * 3000)]
     docs = spark.createDataFrame([(*row, 1, "x") for row in rows], KINDS)
