@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -63,6 +63,33 @@ def mapped(
     return rows.mapInArrow(over, kinds)
 
 
+def bounded(known: DataFrame, sample: int) -> DataFrame:
+    """Rows (doc_id, text, ...) to fit a model on: all, or if an id has so many rows that there are
+    a quarter more than ``sample``, a draw of about so many by hash of id and text."""
+    number = known.count()
+    if number <= sample * 5 // 4:
+        return known
+    return known.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(sample / number * 1_000_000))
+
+
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Add ``number``, the row's place in the order, from 0; written to the shared folder.
+
+    Rows are dealt in ranges and sorted there. Equal ones are told apart by where they came from,
+    so copies do not meet in one range. The window counts ranges, of which there are at most as
+    many as shuffle partitions.
+    """
+    apart = rows.withColumn("copy", F.monotonically_increasing_id())
+    dealt = apart.repartitionByRange(*order, "copy").sortWithinPartitions(*order, "copy").drop("copy")
+    dealt = stored(dealt.withColumn("at", F.monotonically_increasing_id()), name)
+    range_ = F.shiftrightunsigned("at", 33)
+    counts = dealt.groupBy(range_.alias("range")).agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.orderBy("range"))
+    starts = counts.select("range", (upto - F.col("rows")).alias("start"))
+    number = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return dealt.join(F.broadcast(starts), range_ == F.col("range")).withColumn("number", number).drop("range", "start", "at")
+
+
 def lowered(text: str | Column) -> Column:
     """Lower-case A to Z alone. Where all characters are ASCII that is ``lower``, which is faster."""
     text = F.col(text) if isinstance(text, str) else text

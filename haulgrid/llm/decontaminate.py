@@ -3,7 +3,7 @@
 A text's fingerprints are the smallest k-gram hash of every run of consecutive k-grams that a
 window covers, so any window that a document and an item share has the same fingerprint at the
 same place in both. Fingerprints are a hash and a place, 16 bytes a row, and only these meet the
-items' fingerprints. The documents that have a match then extend each to the item's whole windows, word
+items' fingerprints. Only texts that have a match are split again, to extend each to the item's whole windows, word
 for word; the union of these windows is the contaminated part of the document.
 """
 
@@ -31,13 +31,11 @@ def words_of(text: str) -> Column:
 def _grams(words: Column, number: Column, gram: int) -> Column:
     """Hash and place of every k-gram; as numbers, the least is the least hash, leftmost."""
     def packed(place: Column) -> Column:
-        low = F.xxhash64(F.slice(words, place, gram)).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        return F.shiftleft(low, PLACE_BITS).bitwiseOR((place - 1).cast("long"))
+        low = F.xxhash64(*[words[place + step] for step in range(gram)]).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+        return F.shiftleft(low, PLACE_BITS).bitwiseOR(place.cast("long"))
 
     none = F.array().cast("array<bigint>")
-    return F.when(
-        number >= gram, F.transform(F.sequence(F.lit(1), number - (gram - 1)), packed)
-    ).otherwise(none)
+    return F.when(number >= gram, F.transform(F.sequence(F.lit(0), number - gram), packed)).otherwise(none)
 
 
 def _least(grams: Column, run: int) -> Column:
@@ -46,7 +44,7 @@ def _least(grams: Column, run: int) -> Column:
         return grams
     none = F.array().cast("array<bigint>")
     every = F.transform(
-        F.sequence(F.lit(1), F.size(grams) - (run - 1)), lambda at: F.array_min(F.slice(grams, at, run))
+        F.sequence(F.lit(0), F.size(grams) - run), lambda at: F.least(*[grams[at + step] for step in range(run)])
     )
     return F.when(F.size(grams) >= run, F.array_distinct(every)).otherwise(none)
 
@@ -82,22 +80,45 @@ def item_windows(items: DataFrame, window: int, gram: int) -> DataFrame:
     )
 
 
-def _prints(docs: DataFrame, lengths: list[int], window: int, gram: int) -> DataFrame:
-    """(doc_id, text_hash, length, print): a document's fingerprints for windows of each length."""
-    found = None
+def prints(docs: DataFrame, lengths: list[int], window: int, gram: int) -> DataFrame:
+    """(doc_id, text_hash, n_words, prints): fingerprints for windows of each length, one array each.
+
+    This is the one place where all texts are split into words. The arrays are to be written before
+    they are exploded: Spark would push a filter on an array that it explodes below the projection
+    that makes it, and there split the text again for every k-gram.
+    """
     rows = docs.select("doc_id", "text_hash", words_of("text").alias("words"))
-    rows = rows.withColumn("number", F.size("words"))
-    for length in lengths:
-        size = gram if length == window else length
-        grams = rows.where(F.col("number") >= length).select(
-            "doc_id", "text_hash", _grams(F.col("words"), F.col("number"), size).alias("grams")
-        )
-        prints = grams.select(
-            "doc_id", "text_hash", F.lit(length).alias("length"),
-            F.explode(_least(F.col("grams"), length - size + 1)).alias("print"),
-        )
-        found = prints if found is None else found.union(prints)
-    return found
+    rows = rows.withColumn("number", F.greatest(F.size("words"), F.lit(0)))
+    made = [gram if length == window else length for length in lengths]
+    grams = rows.select(
+        "doc_id", "text_hash", "number",
+        *[_grams(F.col("words"), F.col("number"), size).alias(f"grams{length}") for length, size in zip(lengths, made)],
+    )
+    least = [_least(F.col(f"grams{length}"), length - size + 1) for length, size in zip(lengths, made)]
+    return grams.select(
+        "doc_id", "text_hash", F.col("number").cast("long").alias("n_words"),
+        F.array(*least).cast("array<array<bigint>>").alias("prints"),
+    )
+
+
+def around(docs: DataFrame, matched: DataFrame, window: int, gram: int) -> DataFrame:
+    """(doc_id, text_hash, number, places): the words around each match, as many as windows that
+    hold it can have, in the documents that have one. To be written, so that number stays and the
+    words, which it needs too, are split once."""
+    before = window - gram
+    # The keys alone may be few enough to be broadcast, and then no text is shuffled.
+    keys = matched.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    docs = docs.join(keys, docs["doc_id"].eqNullSafe(keys["id"]) & (docs["text_hash"] == keys["hash"]), "left_semi")
+    same = docs["doc_id"].eqNullSafe(matched["doc_id"]) & (docs["text_hash"] == matched["text_hash"])
+    rows = docs.join(matched, same).select(docs["doc_id"], docs["text_hash"], words_of("text").alias("words"), "places")
+    return rows.select(
+        "doc_id", "text_hash", F.size("words").alias("number"),
+        F.transform("places", lambda p: F.struct(
+            p["length"].alias("length"), p["hash"].alias("hash"), p["at"].alias("at"),
+            F.greatest(p["at"] - before, F.lit(0)).alias("first"),
+            F.slice("words", F.greatest(p["at"] - before, F.lit(0)) + 1, before + window).alias("around"),
+        )).alias("places"),
+    )
 
 
 def _union_length(spans: Column) -> Column:
@@ -138,31 +159,17 @@ def contamination(
     lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())
     wanted = stored(windows.select("length", "hash").distinct(), "wanted")
 
-    places = "array<struct<length:int,hash:bigint,at:int>>"
-    if lengths:
-        prints = _prints(docs, lengths, window, gram).withColumn("hash", _hash("print"))
-        matched = (
-            prints.join(wanted, ["length", "hash"], "left_semi")
-            .groupBy("doc_id", "text_hash")
-            .agg(F.collect_set(F.struct("length", "hash", _place("print").alias("at"))).alias("places"))
-        )
-        same = docs["doc_id"].eqNullSafe(matched["doc_id"]) & (docs["text_hash"] == matched["text_hash"])
-        rows = docs.join(matched, same, "left").select(docs["*"], "places")
-    else:
-        rows = docs.withColumn("places", F.lit(None).cast(places))
-
-    # Words around each match, as many as windows that hold it can have.
-    before = window - gram
-    rows = rows.withColumn("words", words_of("text")).select(
-        "doc_id", "text_hash", F.greatest(F.size("words"), F.lit(0)).cast("long").alias("n_words"),
-        F.transform("places", lambda p: F.struct(
-            p["length"].alias("length"), p["hash"].alias("hash"), p["at"].alias("at"),
-            F.greatest(p["at"] - before, F.lit(0)).alias("first"),
-            F.slice("words", F.greatest(p["at"] - before, F.lit(0)) + 1, before + window).alias("around"),
-        )).alias("places"),
+    rows = stored(prints(docs, lengths, window, gram), "prints")
+    each = rows.select("doc_id", "text_hash", F.posexplode("prints").alias("kind", "some"))
+    each = each.select("doc_id", "text_hash", F.array(*map(F.lit, lengths))[F.col("kind")].alias("length") if lengths
+                       else F.lit(0).alias("length"), F.explode("some").alias("print"))
+    matched = stored(
+        each.withColumn("hash", _hash("print")).join(wanted, ["length", "hash"], "left_semi")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_set(F.struct("length", "hash", _place("print").alias("at"))).alias("places")),
+        "matched",
     )
-    rows = stored(rows, "matched")
-    near = rows.where("places is not null").select("doc_id", "text_hash", F.inline("places"))
+    near = stored(around(docs, matched, window, gram), "around").select("doc_id", "text_hash", F.inline("places"))
     known = windows.select("length", "hash", "offset", "window").distinct()
     hits = near.join(known, ["length", "hash"]).withColumn("start", F.col("at") - F.col("offset")).where(
         (F.col("start") >= 0) & (F.col("window") == F.array_join(

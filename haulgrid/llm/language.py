@@ -127,18 +127,43 @@ class Network:
         return [*gradients, active.T @ errors, errors.sum(axis=0)]
 
     def predict(self, texts) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text: the mean of its windows' probabilities."""
-        names, scores = [], []
-        for text in texts:
-            # str.isalpha stops at the first letter
-            if not self.languages or text is None or next(filter(str.isalpha, text), None) is None:
-                names.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            mean = self.probabilities(windows_of(text.encode())).mean(axis=0, dtype="f8")
-            names.append(self.languages[int(mean.argmax())])
-            scores.append(float(min(max(mean.max(), 0.0), 1.0)))
-        return names, np.array(scores)
+        """Language and score of each text: the mean of its windows' probabilities.
+
+        Windows are looked at ``TOGETHER``, whichever texts they are of.
+        """
+        # str.isalpha stops at the first letter
+        plain = [
+            at for at, text in enumerate(texts)
+            if self.languages and text is not None and next(filter(str.isalpha, text), None) is not None
+        ]
+        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        sums, numbers = np.zeros((len(texts), len(self.languages))), np.ones(len(texts))
+        held, owners = [], []
+
+        def look() -> None:
+            if held:
+                found = self.probabilities(np.concatenate(held))
+                np.add.at(sums, np.repeat(owners, [len(part) for part in held]), found)
+                held.clear()
+                owners.clear()
+
+        texts, waiting = list(texts), 0
+        for at in plain:
+            windows = windows_of(texts[at].encode())
+            numbers[at] = len(windows)
+            for first in range(0, len(windows), TOGETHER):
+                held.append(windows[first: first + TOGETHER])
+                owners.append(at)
+                waiting += len(held[-1])
+                if waiting >= TOGETHER:
+                    look()
+                    waiting = 0
+        look()
+        means = sums / numbers[:, None]
+        for at in plain:
+            names[at] = self.languages[int(means[at].argmax())]
+            scores[at] = min(max(means[at].max(), 0.0), 1.0)
+        return names, scores
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:
@@ -149,12 +174,13 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 def fit_network(docs: DataFrame, sample: int = SAMPLE) -> Network:
     """Train on documents (doc_id, text, lang) with a language and a letter.
 
-    Of more than ``sample`` so many are drawn by hash, and of each text ``WINDOWS`` windows, some
-    of them cut short, as texts may be; this bounds what comes back to the driver.
+    Of more than ``sample`` rows so many are drawn by hash, and of each text ``WINDOWS`` windows, some
+    of them cut short, as texts may be; this bounds what comes back to the driver. Repeated rows
+    are one there.
     """
     known = docs.where("lang is not null and text is not null and doc_id is not null")
     share = min(1.0, sample / max(known.count(), 1))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
 
     def cut(batch: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -174,7 +200,8 @@ def fit_network(docs: DataFrame, sample: int = SAMPLE) -> Network:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
-    rows = mapped(drawn, cut, "doc_id long, lang string, window binary").orderBy("doc_id", "window").toPandas()
+    rows = mapped(drawn, cut, "doc_id long, lang string, window binary").distinct()
+    rows = rows.orderBy("doc_id", "window", "lang").toPandas()
     languages = sorted(rows["lang"].unique())
     network = Network(languages)
     if len(languages) > 1:

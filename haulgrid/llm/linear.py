@@ -5,17 +5,32 @@ from __future__ import annotations
 import numpy as np
 
 
+#: Entries whose values are gathered at a time.
+AT_ONCE = 1 << 18
+
+
 class SparseRows:
     """Rows as lists of feature numbers, each feature there or not, plus a few dense columns."""
 
     def __init__(self, rows: list, features: int, dense: np.ndarray | None = None):
-        self.number, self.features = len(rows), features
-        self.sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.feature = np.concatenate([np.asarray(row, np.int64) for row in rows] or [np.zeros(0, np.int64)])
+        sizes = np.fromiter(map(len, rows), np.int32, len(rows))
+        entries = np.concatenate([np.asarray(row, np.int32) for row in rows] or [np.zeros(0, np.int32)])
+        self._set(sizes, entries, features, dense)
+
+    @classmethod
+    def flat(cls, sizes: np.ndarray, entries: np.ndarray, features: int) -> "SparseRows":
+        """From the number of entries of each row, and all rows' entries one after the other."""
+        out = cls.__new__(cls)
+        out._set(sizes.astype(np.int32, copy=False), entries.astype(np.int32, copy=False), features, None)
+        return out
+
+    def _set(self, sizes: np.ndarray, entries: np.ndarray, features: int, dense: np.ndarray | None) -> None:
+        self.number, self.features, self.sizes, self.feature = len(sizes), features, sizes, entries
         # The entries again, feature by feature, so that both ways sums run over neighbours.
-        self.row = np.repeat(np.arange(len(rows)), self.sizes)[np.argsort(self.feature, kind="stable")]
-        self.times = np.bincount(self.feature, minlength=features)
-        self.dense = np.zeros((len(rows), 0)) if dense is None else dense
+        rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.row = rows[np.argsort(entries, kind="stable")]
+        self.times = np.bincount(entries, minlength=features).astype(np.int32)
+        self.dense = np.zeros((len(sizes), 0)) if dense is None else dense
 
     def with_dense(self, columns: list[np.ndarray]) -> "SparseRows":
         out = SparseRows.__new__(SparseRows)
@@ -34,10 +49,15 @@ class SparseRows:
 
 
 def _sums(values: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of the values at the places, in runs of these sizes."""
+    """Sums of the values at the places, in runs of these sizes, so many places at a time."""
     out, filled = np.zeros(len(sizes)), np.flatnonzero(sizes)
-    if len(filled):
-        out[filled] = np.add.reduceat(np.take(values, at), (np.cumsum(sizes) - sizes)[filled])
+    ends = np.cumsum(sizes[filled], dtype=np.int64)
+    first = done = 0
+    while first < len(filled):
+        last = max(int(np.searchsorted(ends, done + AT_ONCE, "right")), first + 1)
+        starts = ends[first:last] - sizes[filled[first:last]] - done
+        out[filled[first:last]] = np.add.reduceat(values[at[done:ends[last - 1]]], starts)
+        first, done = last, int(ends[last - 1])
     return out
 
 

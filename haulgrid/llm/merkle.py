@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrid.llm.common import fold_of, lowered, mapped, stored, table
+from haulgrid.llm.common import fold_of, lowered, mapped, numbered, stored, table
 
 #: Children of a parent.
 FANOUT = 8
@@ -46,27 +46,6 @@ def leaf_of(*values: Column) -> Column:
     return F.sha2(F.concat(*[field(value) for value in values]).cast("binary"), 256)
 
 
-def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Add ``number``, the row's place in the order, from 0; written to the shared folder.
-
-    Rows are dealt in ranges and sorted there. Equal ones are told apart by where they came from,
-    so copies do not meet in one range. Only one count per range comes to the driver.
-    """
-    apart = rows.withColumn("copy", F.monotonically_increasing_id())
-    dealt = apart.repartitionByRange(*order, "copy").sortWithinPartitions(*order, "copy").drop("copy")
-    dealt = stored(dealt.withColumn("at", F.monotonically_increasing_id()), name)
-    place = F.shiftrightunsigned("at", 33)
-    counts = sorted(tuple(row) for row in dealt.groupBy(place.alias("range")).agg(F.count("*")).collect())
-    before, starts = 0, []
-    for range_, count in counts:
-        starts.append((range_, before))
-        before += count
-    # One row for each range, so at most as many as shuffle partitions.
-    starts = rows.sparkSession.createDataFrame(starts, "range long, start long")
-    number = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    return dealt.join(F.broadcast(starts), place == F.col("range")).withColumn("number", number).drop("range", "start", "at")
-
-
 def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 

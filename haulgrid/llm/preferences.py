@@ -1,11 +1,15 @@
-"""Preference formatting: pairs of conversations as one prompt and two masked completions."""
+"""Preference formatting: pairs of conversations as one prompt and two masked completions.
+
+Where the conversations come without pairs, each is chosen, and rejected against itself with the
+last answer of another one: ``rivals`` makes the pairs. They share their turns up to that answer.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrid.llm.common import table
+from haulgrid.llm.common import numbered, stored, table
 
 TRAINED = "assistant"
 OPEN, MIDDLE, CLOSE = "<|", "|>\n", "<|end|>\n"
@@ -54,6 +58,11 @@ def preference_examples(turns: DataFrame, pairs: DataFrame) -> DataFrame:
         .join(whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("good")), "chosen_id")
         .join(whole.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("bad")), "rejected_id")
     )
+    return formatted(rows)
+
+
+def formatted(rows: DataFrame) -> DataFrame:
+    """The examples of rows (pair_id, chosen_id, rejected_id, good, bad), the latter arrays of turns."""
     alike = F.zip_with("good", "bad", lambda a, b: a.eqNullSafe(b))
     rows = rows.withColumn("first", F.array_position(alike, F.lit(False)).cast("int"))
     rows = rows.withColumn(
@@ -66,13 +75,37 @@ def preference_examples(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(turns: DataFrame) -> DataFrame:
-    """Pairs of conversations 2 n and 2 n + 1, the first one chosen."""
-    ids = turns.where("conv_id is not null").select("conv_id").distinct()
-    pairs = ids.groupBy(F.floor(F.col("conv_id") / 2).alias("pair_id")).agg(
-        F.min("conv_id").alias("chosen_id"), F.max("conv_id").alias("rejected_id")
+def rivals(turns: DataFrame) -> DataFrame:
+    """(pair_id, chosen_id, rejected_id, good, bad): each conversation against another one's answer.
+
+    good is the conversation, bad the same turns with the last assistant's turn replaced by that of
+    the next conversation by id; the last one's next is the first. A conversation without an
+    assistant's turn gets the other answer at its end; a next one without gives an empty answer.
+    pair_id and chosen_id are the conversation's id, rejected_id is the next one's. A conversation
+    that is alone is its own next. NULL ids, repeated rows and missing fields are as in
+    ``preference_examples``; an empty table gives an empty table.
+    """
+    whole = _conversations(turns)
+    back = F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"] == TRAINED), F.lit(True)).cast("int")
+    last = F.when(back > 0, F.size("turns") - back + 1).otherwise(0)
+    whole = stored(whole.withColumn("last", last), "conversations")
+    places = stored(numbered(whole.select("conv_id"), ["conv_id"], "conversation-ids"), "conversation-places")
+    count = places.agg(F.max("number") + 1).scalar()
+    following = places.select(F.col("conv_id").alias("chosen_id"), F.pmod(F.col("number") + 1, count).alias("next"))
+    answers = whole.select(
+        F.col("conv_id").alias("rejected_id"),
+        F.when(F.col("last") > 0, F.element_at("turns", F.col("last"))["text"]).otherwise("").alias("answer"),
+    )
+    pairs = following.join(
+        places.select(F.col("conv_id").alias("rejected_id"), F.col("number").alias("next")), "next"
+    ).join(answers, "rejected_id")
+    other = F.struct(F.lit(TRAINED).alias("role"), F.col("answer").alias("text"))
+    upto = F.when(F.col("last") > 0, F.col("last") - 1).otherwise(F.size("turns"))
+    behind = F.slice("turns", upto + 2, F.greatest(F.size("turns") - upto - 1, F.lit(0)))
+    return whole.join(pairs, F.col("conv_id") == F.col("chosen_id")).select(
+        F.col("conv_id").alias("pair_id"), "chosen_id", "rejected_id", F.col("turns").alias("good"),
+        F.concat(F.slice("turns", F.lit(1), upto), F.array(other), behind).alias("bad"),
     )
-    return pairs.where("chosen_id < rejected_id")
 
 
 def _mask(side: str) -> Column:
@@ -80,9 +113,8 @@ def _mask(side: str) -> Column:
 
 
 def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation of even id against its successor, the masks as one digit per turn."""
-    turns = table(spark, sf_dir, "conversations")
-    found = preference_examples(turns, neighbours(turns))
+    """Every conversation against the next one's last answer, the masks as one digit per turn."""
+    found = formatted(rivals(table(spark, sf_dir, "conversations")))
     return found.select(
         "pair_id", "chosen_id", "rejected_id", "n_prompt_turns", "prompt",
         F.array_join("chosen.text", "").alias("chosen"), F.array_join("rejected.text", "").alias("rejected"),
@@ -97,12 +129,16 @@ WITH c AS (
   SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn, role, text) AS turns
   FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
         FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id
-), p AS (
-  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, min(conv_id) AS chosen_id, max(conv_id) AS rejected_id
-  FROM c GROUP BY 1 HAVING min(conv_id) < max(conv_id)
+), l AS (
+  SELECT conv_id, turns, row_number() OVER (ORDER BY conv_id) AS place, count(*) OVER () AS number,
+    coalesce(list_max([CASE WHEN turns[i].role = '{TRAINED}' THEN i ELSE 0 END FOR i IN range(1, len(turns) + 1)]), 0) AS last
+  FROM c
 ), j AS (
-  SELECT pair_id, chosen_id, rejected_id, g.turns AS good, b.turns AS bad
-  FROM p JOIN c g ON g.conv_id = chosen_id JOIN c b ON b.conv_id = rejected_id
+  SELECT g.conv_id AS pair_id, g.conv_id AS chosen_id, b.conv_id AS rejected_id, g.turns AS good,
+    CASE WHEN g.last > 0 THEN g.turns[1:g.last - 1] ELSE g.turns END
+      || [{{'role': '{TRAINED}', 'text': CASE WHEN b.last > 0 THEN b.turns[b.last].text ELSE '' END}}]
+      || CASE WHEN g.last > 0 THEN g.turns[g.last + 1:] ELSE [] END AS bad
+  FROM l g JOIN l b ON b.place = g.place % g.number + 1
 ), n AS (
   SELECT pair_id, coalesce(min(i) FILTER (WHERE good[i] IS DISTINCT FROM bad[i]) - 1, len(any_value(good))) AS n
   FROM j, unnest(range(1, greatest(len(good), len(bad)) + 1)) AS u(i) GROUP BY pair_id

@@ -8,7 +8,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrid.llm.common import fold_of, mapped, stored, table
+from haulgrid.llm.common import bounded, fold_of, mapped, stored, table
 
 FOLDS = 4
 HELD_OUT = 2
@@ -91,8 +91,9 @@ def calibrate(differences: np.ndarray, labels: np.ndarray) -> tuple[float, float
 def fit_scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     """Fit on documents (doc_id, text) with labels (doc_id, quality 0 or 1).
 
-    Of more than ``sample`` labels so many are drawn by hash, which bounds what is broadcast and
-    what comes back to the driver. Labels that are NULL do not count; of several for one document
+    Of more than ``sample`` labels, and of their rows, so many are drawn by hash, which bounds what
+    is broadcast and what comes back to the driver; there repeated rows are one. A dictionary is
+    made of ``PIECES`` pieces at most, those of least hash. Labels that are NULL do not count; of several for one document
     the lowest does.
     """
     labels = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
@@ -101,10 +102,10 @@ def fit_scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scor
     share = min(1.0, sample / max(labels.count(), 1))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     drawn = labels.where(draw < int(share * 1_000_000))
-    known = stored(
+    known = bounded(stored(
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
         .join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "quality"), "labelled",
-    )
+    ), sample)
 
     def cut(batch: pd.DataFrame) -> pd.DataFrame:
         out = [
@@ -118,17 +119,16 @@ def fit_scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scor
     pieces = mapped(known.where(first), cut, "doc_id long, quality int, at int, piece binary")
 
     def chosen(quality: int) -> bytes:
-        rows = pieces.where(F.col("quality") == quality).withColumn("h", F.xxhash64("doc_id", "at", "piece"))
+        rows = pieces.where(F.col("quality") == quality).withColumn("h", F.xxhash64("doc_id", "at", "piece")).distinct()
         return dictionary([bytes(row["piece"]) for row in rows.orderBy("h").limit(PIECES).select("piece").collect()])
 
     scorer = Scorer(chosen(1), chosen(0))
 
     def differences(batch: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({
-            "quality": batch["quality"], "x": [scorer.difference(text) for text in batch["text"]]
-        })
+        return batch[["doc_id", "quality"]].assign(x=[scorer.difference(text) for text in batch["text"]])
 
-    rest = mapped(known.where(~first), differences, "quality int, x double").orderBy("x", "quality").toPandas()
+    rest = mapped(known.where(~first), differences, "doc_id long, quality int, x double").distinct()
+    rest = rest.orderBy("x", "quality").select("quality", "x").toPandas()
     if len(rest):
         scorer.slope, scorer.offset = calibrate(rest["x"].to_numpy(), rest["quality"].to_numpy(float))
     return scorer

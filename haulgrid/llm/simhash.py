@@ -252,25 +252,26 @@ def _rooted(distinct: DataFrame, distance: int, cell: int) -> DataFrame:
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of ``docs`` for each near-duplicate component: that of least doc_id.
 
-    Of several with this id in the component the one of least text hash stays, and of those the
-    one of least hash of all columns. Components whose least ids are equal keep a row each. Of its
-    rows without a doc_id, which its id does not name, a component keeps one too, by the same
-    order. All columns pass through.
+    Rows without a doc_id come after those with one; of several with the least id the one of least
+    text hash stays, and of those the one of least hash of all columns. So exactly one row of a
+    component stays, whether or not its rows have ids. All columns pass through.
+
+    The choice is made on fingerprints and hashes. The rows meet it by these, and copies are one
+    row of their task before they do.
     """
     free = "_".join(["_", *docs.columns])
     # The hash passes over NULLs, so it also takes which columns are.
     key = {
-        f"{free}id": F.col("doc_id").cast("long"), f"{free}text": F.xxhash64(F.col("text").cast("string")),
+        f"{free}none": F.col("doc_id").isNull(), f"{free}id": F.col("doc_id").cast("long"),
+        f"{free}text": F.xxhash64(F.col("text").cast("string")),
         f"{free}row": F.xxhash64(*docs.columns, *[F.col(name).isNull() for name in docs.columns]),
     }
     names = list(key)
-    prints = fingerprints(docs.withColumns(key), shingle, *names[1:]).withColumnRenamed("doc_id", names[0])
-    one = F.struct(*names)
-    kinds = {"named": F.col(names[0]).isNotNull(), "nameless": F.col(names[0]).isNull()}
+    prints = fingerprints(docs.withColumns(key), shingle, *names[2:]).withColumnRenamed("doc_id", names[1])
+    prints = prints.withColumn(names[0], F.col(names[1]).isNull())
     # Copies are one row of their fingerprint before it meets its root.
-    least = prints.groupBy("fp").agg(*[F.min(F.when(which, one)).alias(kind) for kind, which in kinds.items()])
-    least = _rooted(least, distance, CELL).groupBy("root").agg(*[F.min(kind).alias(kind) for kind in kinds])
-    leaders = least.select(F.explode(F.array(*kinds)).alias("key")).where("key is not null").select("key.*")
+    least = prints.groupBy("fp").agg(F.min(F.struct(*names)).alias("first"))
+    leaders = _rooted(least, distance, CELL).groupBy("root").agg(F.min("first").alias("key")).select("key.*")
     leaders = stored(leaders, "leaders").select(*[F.col(name).alias(f"{name}_") for name in names])
     # Rows alike in the key are equal; each task keeps one of them before they meet.
     rows = docs.withColumns(key).groupBy(*names).agg(F.first(F.struct(*docs.columns)).alias("row"))

@@ -12,15 +12,16 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrid.llm.common import mapped, stored, table
+from haulgrid.llm.common import bounded, mapped, stored, table
 from haulgrid.llm.linear import SparseRows, fit, logit, sigmoid
 
 #: Labelled texts that a chain is fitted on, at most about. Scoring covers all texts.
 SAMPLE = 10_000
-#: Each feature is in so many of the sampled texts.
+#: Each feature is in so many of the sampled texts: the chi-square test needs that many to hold.
 LEAST_TEXTS = 5
 FOLDS = 4
 #: Words whose features a worker keeps at a time.
@@ -130,17 +131,17 @@ def chosen_features(known: DataFrame, names: list[str]) -> list[str]:
 def fit_chain(docs: DataFrame, labels: DataFrame, names: list[str], sample: int = SAMPLE) -> Chain:
     """Fit a chain on documents (doc_id, text) that have labels (doc_id and the names).
 
-    If there are more labels than ``sample``, a draw by hash of so many is used, so a run again
-    fits the same model. The draw bounds what is broadcast and what comes back to the driver.
+    If there are more labels than ``sample``, or more rows of theirs, a draw by hash of so many is
+    used, so a run again fits the same model. The draw bounds what is broadcast and what comes back to the driver.
     Texts with the same features and labels are one row there, with their number.
     """
     share = min(1.0, sample / max(labels.count(), 1))
     drawn = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    known = stored(
+    known = bounded(stored(
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
         .join(F.broadcast(drawn), "doc_id").select("doc_id", "text", *names),
         "labelled",
-    )
+    ), sample)
     vocabulary = chosen_features(known, names)
     chain = Chain(names, vocabulary, [])
 
@@ -153,20 +154,24 @@ def fit_chain(docs: DataFrame, labels: DataFrame, names: list[str], sample: int
     rows = mapped(known.select("text", *names), listed, f"{kinds}, features array<int>")
     rows = rows.groupBy(*names, "features").agg(F.count("*").alias("n"))
     rows = rows.withColumn("fold", F.pmod(F.xxhash64("features"), F.lit(FOLDS)).cast("int"))
-    rows = rows.orderBy("features", *names).toPandas()
-    sparse, folds, times = list(rows["features"]), rows["fold"].to_numpy(), rows["n"].to_numpy(float)
-    matrix, earlier = SparseRows(sparse, len(vocabulary)), []
+    rows = rows.orderBy("features", *names).toArrow()
+    # Only flat numbers are kept, once; a fold is left out by counting its rows as none.
+    folds, times = rows["fold"].to_numpy(), rows["n"].to_numpy().astype(float)
+    labelled = {name: rows[name].to_numpy().astype(float) for name in names}
+    lists = rows["features"].combine_chunks()
+    del rows
+    matrix = SparseRows.flat(pc.list_value_length(lists).to_numpy(), lists.flatten().to_numpy(), len(vocabulary))
+    del lists
+    earlier = []
     for name in names:
-        y = rows[name].to_numpy(float)
-        whole = matrix.with_dense(earlier)
+        y, whole = labelled[name], matrix.with_dense(earlier)
         chain.weights.append(fit(whole, y, times))
         if name == names[-1]:
             break  # nothing after it needs its out-of-fold probabilities
         outside = np.zeros(len(y))
         for fold in range(FOLDS):
-            inside = np.flatnonzero(folds != fold)
-            part = SparseRows([sparse[i] for i in inside], len(vocabulary), whole.dense[inside])
-            outside[folds == fold] = sigmoid(whole.scores(fit(part, y[inside], times[inside])))[folds == fold]
+            out = folds == fold
+            outside[out] = sigmoid(whole.scores(fit(whole, y, times * ~out)))[out]
         earlier = [*earlier, logit(outside)]
     return chain
 

@@ -37,3 +37,8 @@ def test_copies_without_ids_are_one(spark):
     rows = [(None, A, "en")] * 300 + [(None, B, None), (None, B, "en"), (4, C, "en"), (4, C, "en"), (4, C, "de")]
     found = kept(spark, rows)
     assert sorted(text for _, text, _ in found) == sorted([A, B, C])
+
+
+def test_a_row_without_an_id_goes_beside_one_with(spark):
+    rows = [(None, A, "en"), (None, A, "de"), (9, A, "en"), (None, B, "en"), (None, B, "en")]
+    assert kept(spark, rows) == sorted([(9, A, "en"), (None, B, "en")], key=repr)
