@@ -18,19 +18,19 @@ def beside_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "doc_id", "text")
 
 
-def restored(docs: DataFrame, text: Column) -> list[Column]:
-    """The columns of ``docs`` again, with this text."""
-    return [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+def restored(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` again, those named with these values; the text must be named."""
+    return [changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not find toxic."""
     scored = toxicity.toxicity(beside_text(docs), table(spark, sf_dir, "labels"))
-    return scored.where("not toxic").select(*restored(docs, F.col("text")))
+    return scored.where("not toxic").select(*restored(docs, text=F.col("text")))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints link, of smallest doc_id; and one without an id."""
+    """One document of each group whose fingerprints link: of smallest doc_id, if any has one."""
     return simhash.one_of_each(docs)
 
 
@@ -39,21 +39,20 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     Texts from which nothing is removed stay as they are, blanks included.
     """
-    found = substrings.without_repeats(beside_text(docs))
-    cut = F.col("n_removed") > 0
-    text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
-    left = found.where("n_removed = 0 or n_removed < n_words").select(*restored(docs, text), cut.alias("_cut"))
-    return left.withColumn("n_chars", F.when(F.col("_cut"), F.length("text")).otherwise(F.col("n_chars"))).drop("_cut")
+    found = substrings.without_repeats(beside_text(docs)).where("n_removed = 0 or n_removed < n_words")
+    changed = {"text": F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        length = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("n_removed") > 0, length).otherwise(F.col("row")["n_chars"])
+    return found.select(*restored(docs, **changed))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    dirty = found.where("n_hit > 0").select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")
-    ).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (
-        F.xxhash64(docs["text"].cast("string")) == F.col("_text_hash")
+    dirty = found.where("n_hit > 0").select("doc_id", "text_hash").distinct()
+    same = docs["doc_id"].eqNullSafe(dirty["doc_id"]) & (
+        F.xxhash64(docs["text"].cast("string")) == dirty["text_hash"]
     )
     return docs.join(dirty, same, "left_anti")
 
