@@ -10,12 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
+from haulgrid.plans.models import ROLES
 from haulgrid.sources.mart import LoadMart
+from haulgrid.sources.scratch import written
+
+#: Columns of the fact that the stored parts are added up by, one at a time.
+PART_KEYS = ["shipper_key", "carrier_key", "lane_key", "haul_type", "equipment_type", *ROLES.values()]
+#: Any of them gives the parts of all loads; this one has the fewest values.
+ALL_LOADS = "haul_type"
 
 
 def _delivered(column: str) -> Column:
@@ -43,6 +50,23 @@ def additive_parts() -> dict[str, Column]:
     return parts
 
 
+def part_rows(facts: DataFrame) -> DataFrame:
+    """Every part per value of each of ``PART_KEYS``, in one scan: kind, the keys, the parts.
+
+    A row holds the sums of one value of the key that ``kind`` names; the other keys are NULL. There
+    are as many rows as values, so what is asked by one key need not go over the loads again.
+    """
+    place = sum((F.grouping(key).cast("int") * F.lit(at) for at, key in enumerate(PART_KEYS)), F.lit(0))
+    # Of a row's keys all but one are left out; their places add up to all but its own.
+    own = F.lit(sum(range(len(PART_KEYS)))) - place
+    kinds = F.array(*[F.lit(key) for key in PART_KEYS])
+    sums = facts.groupingSets([[F.col(key)] for key in PART_KEYS], *[F.col(key) for key in PART_KEYS]).agg(
+        F.element_at(kinds, (own + 1).cast("int")).alias("kind"),
+        *[part.alias(name) for name, part in additive_parts().items()],
+    )
+    return sums.select("kind", *PART_KEYS, *additive_parts())
+
+
 @dataclass(frozen=True)
 class Measure:
     """Name, the parts it needs, and how its value follows from them.
@@ -131,6 +155,9 @@ def measured(
     """
     chosen = [MEASURES[m] for m in measures]
     parts = list(dict.fromkeys(p for m in chosen for p in m.parts))
+    sums = None if loads is not None else _stored_sums(mart, parts, [*by, *members_use], role)
+    if sums is not None:
+        return _of_members(mart, sums, chosen, parts, by, members, members_use, role, how)
     known = additive_parts()
     facts = mart.facts if loads is None else mart.facts.where(loads)
     if members is not None and not set(members_use) & set(by):
@@ -142,13 +169,35 @@ def measured(
             some = dimension.where(members).select(F.col(key).alias("_key"))
             facts = facts.join(some, F.col(fact_column) == F.col("_key"), "left_semi")
             members, members_use = None, ()
-    lookups = list(_lookups(mart, [*by, *members_use], role))
+    keys = _keys(mart, [*by, *members_use], role)
+    sums = facts.groupBy(*keys).agg(*[known[p].alias(p) for p in parts])
+    return _of_members(mart, sums, chosen, parts, by, members, members_use, role, how)
+
+
+def _keys(mart: LoadMart, attributes: Sequence[str], role: str) -> list[str]:
+    """The columns of the fact that these attributes follow from."""
+    lookups = list(_lookups(mart, attributes, role))
     looked_up = {a for *_, wanted in lookups for a in wanted}
+    own = [a for a in attributes if a not in looked_up]
+    return list(dict.fromkeys([fact_column for fact_column, *_ in lookups] + own))
 
-    own = [a for a in by if a not in looked_up]
-    keys = list(dict.fromkeys([fact_column for fact_column, *_ in lookups] + own))
-    sums = facts.groupBy(*keys).agg(*[known[p].alias(p) for p in parts])
 
+def _stored_sums(mart: LoadMart, parts: list[str], attributes: Sequence[str], role: str) -> DataFrame | None:
+    """The parts by the one key that all attributes follow from, as they are stored; None if
+    there is more than one key, or one that they are not stored by."""
+    keys = _keys(mart, attributes, role)
+    if len(keys) > 1 or not set(keys) <= set(PART_KEYS):
+        return None
+    stored = mart.parts.where(F.col("kind") == (keys[0] if keys else ALL_LOADS))
+    return stored.select(*keys, *parts) if keys else stored.agg(*[_added_up(p).alias(p) for p in parts])
+
+
+def _of_members(
+    mart: LoadMart, sums: DataFrame, chosen: list[Measure], parts: list[str], by: Sequence[str],
+    members: Column | None, members_use: Sequence[str], role: str, how: str,
+) -> DataFrame:
+    """The measures from parts by key: joined to the dimensions and added up per attribute."""
+    lookups = list(_lookups(mart, [*by, *members_use], role))
     if lookups:
         for fact_column, key, dimension, wanted in lookups:
             member = dimension.select(F.col(key).alias("_key"), *wanted)
@@ -160,12 +209,23 @@ def measured(
 
 
 def dense_rank_by(groups: DataFrame, value: str, rank: str) -> DataFrame:
-    """Dense rank of grouped rows by a count, highest first, without one task seeing all rows.
+    """Dense rank of grouped rows by a value, highest first; a row without a value has no rank.
 
-    The rank depends on the count alone, so only the distinct counts are ranked. Counts of
-    separate groups that add up to N loads have at most sqrt(2 N) distinct values: under a
-    million for 10^11 loads, which is also why they may be broadcast.
+    The distinct values are dealt in ranges and sorted there; a value's rank is its place in its
+    range and the number of values in the ranges above. Only one count per range comes to the
+    driver. The groups are computed once. The ranks are broadcast only if Spark finds them small.
     """
-    levels = groups.select(value).distinct()
-    ranks = levels.select(value, F.dense_rank().over(W.orderBy(F.desc(value))).alias(rank))
-    return groups.join(F.broadcast(ranks), value)
+    groups = written(groups, "ranked")
+    levels = groups.where(F.col(value).isNotNull()).select(F.col(value).alias("_level")).distinct()
+    levels = levels.repartitionByRange(F.desc("_level")).sortWithinPartitions(F.desc("_level"))
+    levels = written(levels.withColumn("_place", F.monotonically_increasing_id()), "levels")
+    range_ = F.shiftrightunsigned("_place", 33)
+    counts = sorted(map(tuple, levels.groupBy(range_).agg(F.count("*")).collect()))
+    before = [0, *accumulate(n for _, n in counts)]
+    starts = groups.sparkSession.createDataFrame(
+        [(number, start) for (number, _), start in zip(counts, before)], "_range long, _before long"
+    )
+    place = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    # One row for each range, so at most as many as shuffle partitions.
+    ranks = levels.join(F.broadcast(starts), range_ == F.col("_range")).select("_level", place.cast("int").alias(rank))
+    return groups.join(ranks, F.col(value) == F.col("_level")).drop("_level")

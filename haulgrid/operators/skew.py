@@ -10,18 +10,45 @@ def _partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def busy_keys(rows: DataFrame, key: str) -> DataFrame:
-    """(_busy, _salts): keys with more rows than a partition's fair share, and how many shares.
+#: Counters that a sketch keeps for each partition, so that a count is off by less than a quarter of
+#: a fair share: a sketch of m counters over n rows is off by at most 3.5 n / m.
+COUNTERS = 16
+#: The most that the sketch takes.
+MOST_COUNTERS = 1_000_000
+
+
+def busy_keys_of(rows: DataFrame, keys: list[str]) -> dict[str, DataFrame]:
+    """For each key column (_busy, _salts): the values with more rows than a partition's fair
+    share, and how many shares.
 
-    There are fewer such keys than partitions, whatever the data. Counts are added up before the
-    shuffle.
+    One scan counts all columns: each task keeps the frequent values of each in a sketch of bounded
+    size, and the sketches are merged. There are fewer such values than partitions, whatever the
+    data. Counts may be off a little, which moves rows between salts but changes no result.
     """
-    partitions = _partitions(rows)
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    shares = F.col("_n") * partitions / counts.agg(F.sum("_n")).scalar()
-    return counts.select(F.col(key).alias("_busy"), F.ceil(shares).cast("int").alias("_salts")).where(
-        "_salts > 1"
-    )
+    partitions, spark = _partitions(rows), rows.sparkSession
+    counters = min(max(COUNTERS * partitions, 1024), MOST_COUNTERS)
+    top = min(partitions + 1, counters)  # a missing value may be one of them
+    found = rows.agg(F.struct(*[
+        F.struct(
+            F.call_function("approx_top_k", F.col(key), F.lit(top), F.lit(counters)).alias("top"),
+            F.count(key).alias("rows"),
+        ).alias(f"k{at}")
+        for at, key in enumerate(keys)
+    ]).alias("sketches")).scalar()
+    busy = {}
+    for at, key in enumerate(keys):
+        sketch = found.getField(f"k{at}")
+        entries = spark.range(1).select(F.explode(sketch.getField("top")).alias("entry"), sketch.getField("rows").alias("n"))
+        shares = F.col("entry.count") * partitions / F.col("n")
+        busy[key] = entries.where(F.col("entry.item").isNotNull()).select(
+            F.col("entry.item").alias("_busy"), F.ceil(shares).cast("int").alias("_salts")
+        ).where("_salts > 1")
+    return busy
+
+
+def busy_keys(rows: DataFrame, key: str) -> DataFrame:
+    """(_busy, _salts) of one key column."""
+    return busy_keys_of(rows, [key])[key]
 
 
 def with_salt(rows: DataFrame, key: str, row_id: str, busy: DataFrame, salt: str) -> DataFrame:
@@ -29,7 +56,7 @@ def with_salt(rows: DataFrame, key: str, row_id: str, busy: DataFrame, salt: str
 
     A missing key finds nothing, so its rows are spread over all partitions.
     """
-    # Fewer rows than partitions, see busy_keys.
+    # Fewer rows than partitions, see busy_keys_of.
     marked = rows.join(F.broadcast(busy), F.col(key) == F.col("_busy"), "left")
     salts = F.when(F.col(key).isNull(), F.lit(_partitions(rows))).otherwise(F.coalesce("_salts", F.lit(1)))
     return marked.withColumn(salt, F.pmod(F.xxhash64(row_id), salts).cast("int")).drop("_busy", "_salts")
@@ -48,10 +75,10 @@ def looked_up(rows: DataFrame, row_id: str, *lookups: tuple[str, DataFrame, str]
     The plan is the same at every size: rows of keys that hold more than a partition's share are
     spread over as many salts as they hold shares, and the lookup rows of those keys are repeated;
     the result is that of the plain join. Whether a lookup is broadcast is up to Spark, which knows
-    its bytes. Adaptive execution alone would not do: it finds hot partitions by their bytes, and
+    its bytes. All keys are counted by one scan of the rows. Adaptive execution alone would not do: it finds hot partitions by their bytes, and
     copies or similar rows compress well.
     """
-    busy: dict[str, DataFrame] = {key: busy_keys(rows, key) for key, *_ in lookups}
+    busy = busy_keys_of(rows, [key for key, *_ in lookups])
     for key, found in busy.items():
         rows = with_salt(rows, key, row_id, found, f"_salt_{key}")
     for key, lookup, how in lookups:

@@ -22,6 +22,12 @@ def delivered_between(first: Column, end: Column) -> Column:
     return (date >= first) & (date < end) & year.between(F.year(first), F.year(end))
 
 
+def with_delivery_year(facts: DataFrame) -> DataFrame:
+    """The loads with a delivery date, told by their folder: those of the others have no bounds of
+    the date in their footers."""
+    return facts.where(F.col(FACT_PARTITION).isNotNull())
+
+
 def last_full_month(facts: DataFrame) -> DataFrame:
     """One row: first day of the last complete delivery month.
 

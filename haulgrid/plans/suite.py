@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import InheritableThread
 
 from haulgrid.functions.responses import classified, run_status
 from haulgrid.plans import questions as q
@@ -65,20 +68,36 @@ QUESTIONS = [
 ]
 
 
+class OutOfTime(Exception):
+    """A question's time was up before its answer was there."""
+
+
+#: Seconds that a question may take.
+TIME_LIMIT = 3600.0
+#: Questions that run at a time.
+AT_ONCE = 4
+
+
 def run_questions(
-    mart: LoadMart, folder: str, questions: list[Question] | None = None
+    mart: LoadMart, folder: str, questions: list[Question] | None = None, seconds: float = TIME_LIMIT,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
     """Run every question and log it; a failing one is logged and the rest go on.
 
     The status is ``success``, ``unsupported`` for a question that the data cannot answer,
-    ``sql_error`` if Spark could not run the query, and ``error`` if anything else went wrong.
+    ``sql_error`` if Spark could not run the query, and ``error`` if anything else went wrong, or
+    the question took more than ``seconds``: its jobs are then cancelled. ``at_once`` questions
+    run side by side, each in a scheduler pool of its own, so that under the FAIR scheduler a heavy
+    one does not hold up the others.
     Answers are lines of JSON under ``answers/<id>``: a row, and its place in the answer's order. A
     bounded answer also stands in its entry as one array in that order. Returns the log. A later
-    run in the same folder replaces the answers and entries of its questions.
+    run in the same folder replaces the answers and entries of its questions. A table that is not
+    built yet is built in the time of the first question that needs it.
     """
     spark = mart.spark
     asked = QUESTIONS if questions is None else questions
-    for item in asked:
+
+    def run(item: Question) -> None:
         entry = {
             "id": item.id, "question": item.text, "why_it_matters": item.why,
             "assumption": item.assumption, "what_needs_change": item.needs,
@@ -87,7 +106,8 @@ def run_questions(
             if item.build is None:
                 log = spark.range(1).select(F.lit("unsupported").alias("status"))
             else:
-                log = _answered(mart, item, f"{folder}/answers/{item.id}")
+                path = f"{folder}/answers/{item.id}"
+                log = within(spark, seconds, f"question-{item.id}", lambda: _answered(mart, item, path))
             _enter(log, entry, folder)
         except Exception as failure:  # noqa: BLE001 - the run goes on whatever went wrong
             status = "sql_error" if isinstance(failure, PySparkException) else "error"
@@ -97,11 +117,50 @@ def run_questions(
                 F.lit(str(failure)).alias("error_message"),
             )
             _enter(log, entry, folder)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(run, asked))
     return read_log(spark, folder, [item.id for item in asked])
 
 
+def within(spark: SparkSession, seconds: float, name: str, work: Callable):
+    """What ``work`` returns, if it does so in time; else its jobs are cancelled.
+
+    The work has a thread of its own, whose jobs carry a tag and run in the pool of that name. A
+    job that it starts after the cancelling is cancelled as well, as long as it lasts.
+    """
+    context, tag, done = spark.sparkContext, f"{name}-{uuid.uuid4().hex}", {}
+
+    def run() -> None:
+        context.setLocalProperty("spark.scheduler.pool", name)
+        context.addJobTag(tag)
+        context.setInterruptOnCancel(True)
+        try:
+            done["value"] = work()
+        except BaseException as failure:  # noqa: BLE001 - handed on to the caller
+            done["failure"] = failure
+
+    thread = InheritableThread(run, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    if thread.is_alive():
+        for _ in range(CANCEL_TRIES):
+            context.cancelJobsWithTag(tag)
+            thread.join(1.0)
+            if not thread.is_alive():
+                break
+        raise OutOfTime(f"no answer within {seconds:g} seconds")
+    if "failure" in done:
+        raise done["failure"]
+    return done["value"]
+
+
+#: Times, a second apart, that the jobs of a question are cancelled.
+CANCEL_TRIES = 30
+
+
 def _answered(mart: LoadMart, item: Question, path: str) -> DataFrame:
-    """Write the answer; one row for the log about it."""
+    """Write the answer; one row for the log about it, to be read from its files."""
     # Partitions of a sorted answer are in its order, and so are these numbers.
     answer = item.build(mart).select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row"))
     answer.write.mode("overwrite").option("ignoreNullFields", False).json(path)

@@ -21,6 +21,8 @@ CLUSTER_CONF = {
     # The JVM leaves methods of more than 8000 bytes to its interpreter, so Spark is told to split
     # what would generate a larger one, as the wide projections here do.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Questions that run side by side share the cluster, see plans/suite.py.
+    "spark.scheduler.mode": "FAIR",
 }
 
 
@@ -45,6 +47,7 @@ def local_session(app: str = "haulgrid", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.scheduler.mode", "FAIR")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from haulgrid.plans import models
 from haulgrid.session import shared_folder
 from haulgrid.sources.landing import read_loads_csv
+from haulgrid.sources.snapshots import Manifest, Snapshots
 from haulgrid.sources.tables import derive_raw_loads, order_items
 
 # Facts are laid out by delivery year and sorted by delivery date inside each file, so a
@@ -50,13 +51,14 @@ class LoadMart:
         with _BUILDING:
             if name not in self._built:
                 rows = build()
-                self._write(name, rows, path)
+                self.write(name, rows, path)
                 self._built[name] = rows.schema
             if name not in self._frames:
                 self._frames[name] = self.spark.read.schema(self._built[name]).parquet(path)
             return self._frames[name]
 
-    def _write(self, name: str, rows: DataFrame, path: str) -> None:
+    def write(self, name: str, rows: DataFrame, path: str) -> None:
+        """Write a table in its layout."""
         writer = rows.write.mode("overwrite")
         if name == "fct_loads":
             # Ranges of date and id: files do not overlap in dates but at their edges, and a day
@@ -67,40 +69,74 @@ class LoadMart:
                 .write.mode("overwrite")
                 .partitionBy(FACT_PARTITION)
             )
+        if name == "load_parts":
+            writer = writer.partitionBy("kind")
         writer.parquet(path)
 
+    def _builders(self) -> dict[str, Callable[[], DataFrame]]:
+        return {
+            "raw_loads": self._raw,
+            "stg_loads": lambda: models.staged_loads(self.raw),
+            "dim_shipper": lambda: models.shipper_dimension(self.staged),
+            "dim_carrier": lambda: models.carrier_dimension(self.staged),
+            "dim_lane": lambda: models.lane_dimension(self.staged),
+            "dim_date": lambda: models.calendar_dimension(self.staged),
+            "fct_loads": lambda: models.load_facts(self.staged).withColumn(
+                FACT_PARTITION, F.year("delivery_date")
+            ),
+        }
+
     @property
     def raw(self) -> DataFrame:
         return self._table("raw_loads", self._raw)
 
     @property
     def staged(self) -> DataFrame:
-        return self._table("stg_loads", lambda: models.staged_loads(self.raw))
+        return self._table("stg_loads", self._builders()["stg_loads"])
 
     @property
     def shippers(self) -> DataFrame:
-        return self._table("dim_shipper", lambda: models.shipper_dimension(self.staged))
+        return self._table("dim_shipper", self._builders()["dim_shipper"])
 
     @property
     def carriers(self) -> DataFrame:
-        return self._table("dim_carrier", lambda: models.carrier_dimension(self.staged))
+        return self._table("dim_carrier", self._builders()["dim_carrier"])
 
     @property
     def lanes(self) -> DataFrame:
-        return self._table("dim_lane", lambda: models.lane_dimension(self.staged))
+        return self._table("dim_lane", self._builders()["dim_lane"])
 
     @property
     def calendar(self) -> DataFrame:
-        return self._table("dim_date", lambda: models.calendar_dimension(self.staged))
+        return self._table("dim_date", self._builders()["dim_date"])
 
     @property
     def facts(self) -> DataFrame:
-        return self._table(
-            "fct_loads",
-            lambda: models.load_facts(self.staged).withColumn(
-                FACT_PARTITION, F.year("delivery_date")
-            ),
-        )
+        return self._table("fct_loads", self._builders()["fct_loads"])
+
+    @property
+    def parts(self) -> DataFrame:
+        """The counts and sums that measures are made of, per value of each key of the fact."""
+        from haulgrid.operators.measures import part_rows
+
+        return self._table("load_parts", lambda: part_rows(self.facts))
+
+    def footers(self, name: str) -> DataFrame:
+        """A table for figures that its files' footers hold: counts, and least and greatest values.
+
+        It is read in a sibling session whose Parquet reader answers such aggregates without
+        reading rows, if no column but the partition's is filtered by. A file without any value
+        of a column has no bounds in its footer, so for these keep such files out. An empty table
+        is read as ever: over no file at all the pushed count would be NULL.
+        """
+        rows = self._table(name, self._builders()[name])
+        if rows.isEmpty():
+            return rows
+        session = self.spark.newSession()
+        session.conf.set("spark.sql.session.timeZone", self.spark.conf.get("spark.sql.session.timeZone"))
+        session.conf.set("spark.sql.sources.useV1SourceList", "")
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        return session.read.schema(self._built[name]).parquet(f"{self.root}/{name}")
 
     def published(self) -> dict[str, DataFrame]:
         """The five modeled tables by name."""
@@ -116,10 +152,12 @@ class LoadMart:
         """The staged table and the modeled ones, by name."""
         return {"stg_loads": self.staged, **self.published()}
 
-    def publish(self, folder: str) -> None:
-        """Rebuild the five modeled tables in a folder of the caller's."""
-        for name, rows in self.published().items():
-            self._write(name, rows, f"{folder}/{name}")
+    def publish(self, folder: str, waived: Iterable[str] = ()) -> Manifest:
+        """Write the five modeled tables as a new version under a folder of the caller's, check
+        them, and make the version current; see ``haulgrid.plans.publishing``."""
+        from haulgrid.plans.publishing import publish
+
+        return publish(self, folder, waived)
 
     @classmethod
     def from_csv(
@@ -129,15 +167,20 @@ class LoadMart:
         return cls(spark, lambda: read_loads_csv(spark, path, id_column), root)
 
     @classmethod
-    def reopen(cls, spark: SparkSession, folder: str) -> LoadMart:
-        """A mart over published tables, for all that needs only the modeled ones."""
+    def reopen(cls, spark: SparkSession, folder: str, number: int | None = None) -> LoadMart:
+        """A mart over the published tables, for all that needs only the modeled ones.
+
+        It reads the version that is current now, or that of a number, whatever is published later.
+        """
 
         def unavailable() -> DataFrame:
             raise ValueError(f"raw and staged loads are not among the tables in {folder}")
 
-        names = ("dim_date", "dim_shipper", "dim_carrier", "dim_lane", "fct_loads")
-        built = {name: spark.read.parquet(f"{folder}/{name}").schema for name in names}
-        return cls(spark, unavailable, folder, built)
+        store = Snapshots(spark, folder)
+        version = store.current() if number is None else store.manifest(number)
+        if version is None:
+            raise ValueError(f"nothing is published in {folder}")
+        return cls(spark, unavailable, version.path, {name: version.schema(name) for name in version.schemas})
 
 
 class DerivedMart(LoadMart):

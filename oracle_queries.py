@@ -6,6 +6,8 @@ staged loads, dimensions, fact.
 
 from __future__ import annotations
 
+import re
+
 from haulgrid.plans.breakdowns import BREAKDOWNS
 from haulgrid.plans.models import FACT_COLUMNS, STAGED_COLUMNS
 from haulgrid.plans.registry import (
@@ -530,6 +532,79 @@ _Q["d15_suite_status"] = (
     f"FROM ({_SUITE}) GROUP BY severity, status"
 )
 
+# Two attempts to publish: the second one waives nothing, so any failing error check refuses it.
+_WAIVED = ("not_null", "lane_format", "negative_prices")
+_FAILED = f"SELECT check_name FROM ({_SUITE}) WHERE status = 'fail'"
+_Q["d15_publish_outcomes"] = " UNION ALL ".join(
+    f"(SELECT '{attempt}' AS attempt, {held} = 0 AS published, {held}::BIGINT AS failing_checks, "
+    f"(CASE WHEN {held} = 0 THEN {let} ELSE 0 END)::BIGINT AS waived_checks, "
+    f"(CASE WHEN {held} = 0 THEN 1 ELSE 0 END)::BIGINT AS new_versions)"
+    for attempt, held, let in (
+        ("waived", f"(SELECT count(*) FROM ({_FAILED}) WHERE check_name NOT IN {_WAIVED})",
+         f"(SELECT count(*) FROM ({_FAILED}) WHERE check_name IN {_WAIVED})"),
+        ("strict", f"(SELECT count(*) FROM ({_FAILED}))", "0"),
+    )
+)
+
+# The same statements over tables with planted faults, whose names begin with x_.
+SEEDED = """, x_stg_loads AS (
+  SELECT * FROM stg_loads UNION ALL SELECT * FROM stg_loads WHERE load_id % 97 = 0
+), changed AS (
+  SELECT * REPLACE (
+    CASE WHEN load_id % 89 = 0 THEN 'nobody' ELSE shipper_key END AS shipper_key,
+    CASE WHEN load_id % 83 = 0 THEN 'nobody' ELSE carrier_key END AS carrier_key,
+    CASE WHEN load_id % 79 = 0 THEN 'nobody' ELSE lane_key END AS lane_key,
+    CASE WHEN load_id % 73 = 0 THEN DATE '1901-01-01' ELSE quote_date END AS quote_date,
+    CASE WHEN load_id % 73 = 0 THEN DATE '1901-01-01' ELSE booked_date END AS booked_date,
+    CASE WHEN load_id % 73 = 0 THEN DATE '1901-01-01' ELSE sourced_date END AS sourced_date,
+    CASE WHEN load_id % 73 = 0 THEN DATE '1901-01-01' ELSE pickup_date END AS pickup_date,
+    CASE WHEN load_id % 73 = 0 THEN DATE '1901-01-01' ELSE delivery_date END AS delivery_date,
+    CASE WHEN load_id % 71 = 0 THEN 'sideways' WHEN load_id % 61 <> 0 THEN haul_type
+      WHEN haul_type = 'intrastate' THEN 'interstate' ELSE 'intrastate' END AS haul_type,
+    CASE WHEN load_id % 67 = 0 THEN NOT is_delivered ELSE is_delivered END AS is_delivered
+  ) FROM fct_loads
+), x_fct_loads AS (
+  SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE load_id % 97 = 0
+), odd_lanes AS (
+  SELECT * REPLACE (CASE WHEN delivery_state = 'EU' THEN 'sideways' ELSE haul_type END AS haul_type) FROM dim_lane
+), x_dim_lane AS (
+  SELECT * FROM odd_lanes UNION ALL SELECT * FROM odd_lanes WHERE pickup_city LIKE '%7'
+), x_dim_shipper AS (
+  SELECT * FROM dim_shipper UNION ALL SELECT * FROM dim_shipper WHERE shipper_name LIKE '%7'
+), x_dim_carrier AS (
+  SELECT * FROM dim_carrier UNION ALL SELECT * FROM dim_carrier WHERE carrier_name LIKE '%7'
+), x_dim_date AS (
+  SELECT * FROM dim_date UNION ALL SELECT * FROM dim_date WHERE day(date_day) = 13
+)
+"""
+
+
+def _seeded(sql: str) -> str:
+    """A statement over the tables with faults; their names in quotes stay, as they are results."""
+    return SEEDED + re.sub(r"(?<!')\b(stg_loads|fct_loads|dim_(?:lane|shipper|carrier|date))\b(?!')", r"x_\1", sql)
+
+
+for _key in ("d2_unique", "d3_relationships", "d4_accepted_values", "d5_one_row_per_load", "d15_check_suite"):
+    _Q[f"{_key}_seeded"] = _seeded(_Q[_key])
+_Q["d8_delivered_definition_seeded"] = _seeded(_Q["d8_delivered_definition"].replace("load_id", "load_id, is_delivered", 1))
+_Q["d9_lane_consistency_seeded"] = _seeded(
+    _Q["d9_lane_consistency"].replace("f.load_id", "f.load_id, f.haul_type, l.haul_type AS lane_haul_type", 1)
+)
+_Q["j9_orphans_seeded"] = _seeded(
+    "SELECT shipper_key, count(*) AS row_count FROM fct_loads "
+    "WHERE shipper_key NOT IN (SELECT shipper_key FROM dim_shipper) GROUP BY shipper_key"
+)
+_Q["j9_date_orphans_seeded"] = _seeded(" UNION ALL ".join(
+    f"(SELECT '{role}' AS role, {role} AS day, count(*) AS row_count FROM fct_loads "
+    f"WHERE {role} NOT IN (SELECT date_day FROM dim_date) GROUP BY {role})"
+    for role in ("quote_date", "booked_date", "sourced_date", "pickup_date", "delivery_date")
+))
+_Q["j10_haul_types_seeded"] = _seeded(
+    "SELECT lane_key, f.haul_type, f.row_count, l.haul_type AS lane_haul_type FROM "
+    "(SELECT lane_key, haul_type, count(*) AS row_count FROM fct_loads GROUP BY lane_key, haul_type) f "
+    "JOIN dim_lane l USING (lane_key) WHERE f.haul_type <> l.haul_type"
+)
+
 # --- profile ---
 _Q["n1_shape"] = f"SELECT count(*) AS row_count, {len(RAW_NAMES)} AS column_count FROM raw_loads"
 _Q["n2_duplicates"] = (

@@ -158,3 +158,12 @@ def test_suite_scans_the_fact_three_times(mart):
     plan = checks.suite(mart)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("booked_date") and sum("load_id" in line and "Relation" in line and "lane_key" in line
                                              for line in plan.splitlines()) == 3
+
+
+def test_no_check_is_without_a_finding_on_the_seeded_tables(mart):
+    from haulgrid.plans.seeded import seeded
+
+    found = {(r.check_name, r.model, r.column_name): r.failing_rows for r in checks.suite(seeded(mart)).collect()}
+    for name in ("unique", "relationships", "accepted_values", "one_row_per_load", "delivered_definition", "lane_consistency"):
+        mine = {key: rows for key, rows in found.items() if key[0] == name}
+        assert mine and all(rows > 0 for rows in mine.values()), mine

@@ -228,3 +228,26 @@ def test_answers_keep_their_order_in_several_files(spark, tmp_path):
     assert len(list((tmp_path / "log/answers/n").glob("part-*"))) > 1
     assert row.status == "success" and row.answer_rows == 90
     assert [r["id"] for r in json.loads(row.answer)] == list(range(89, -1, -1))
+
+
+def test_a_question_without_end_is_stopped(spark, tmp_path):
+    import time
+
+    from haulgrid.plans import suite as K
+
+    class Any:
+        pass
+
+    here = Any()
+    here.spark = spark
+    endless = lambda m: spark.range(1 << 55).agg(F.sum(F.xxhash64("id") % 7).alias("n"))
+    short = lambda m: spark.range(5)
+    items = [K.Question(name, name, build, True, "", "") for name, build in (("one", short), ("never", endless), ("two", short))]
+    log = {r.id: r for r in K.run_questions(here, str(tmp_path / "log"), items, seconds=20).collect()}
+    assert {name: r.status for name, r in log.items()} == {"one": "success", "never": "error", "two": "success"}
+    assert log["never"].error == "OutOfTime" and "20 seconds" in log["never"].error_message
+    # Nothing of it is left running.
+    deadline = time.monotonic() + 60
+    while spark.sparkContext.statusTracker().getActiveStageIds() and time.monotonic() < deadline:
+        time.sleep(0.5)
+    assert not spark.sparkContext.statusTracker().getActiveStageIds()
