@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _partitions(rows: DataFrame) -> int:
@@ -28,22 +29,28 @@ def busy_keys_of(rows: DataFrame, keys: list[str]) -> dict[str, DataFrame]:
     partitions, spark = _partitions(rows), rows.sparkSession
     counters = min(max(COUNTERS * partitions, 1024), MOST_COUNTERS)
     top = min(partitions + 1, counters)  # a missing value may be one of them
-    found = rows.agg(F.struct(*[
-        F.struct(
-            F.call_function("approx_top_k", F.col(key), F.lit(top), F.lit(counters)).alias("top"),
-            F.count(key).alias("rows"),
-        ).alias(f"k{at}")
-        for at, key in enumerate(keys)
-    ]).alias("sketches")).scalar()
-    busy = {}
-    for at, key in enumerate(keys):
-        sketch = found.getField(f"k{at}")
-        entries = spark.range(1).select(F.explode(sketch.getField("top")).alias("entry"), sketch.getField("rows").alias("n"))
-        shares = F.col("entry.count") * partitions / F.col("n")
-        busy[key] = entries.where(F.col("entry.item").isNotNull()).select(
-            F.col("entry.item").alias("_busy"), F.ceil(shares).cast("int").alias("_salts")
-        ).where("_salts > 1")
-    return busy
+    sketches = rows.agg(*[
+        column for at, key in enumerate(keys) for column in (
+            F.call_function("approx_top_k", F.col(key), F.lit(top), F.lit(counters)).alias(f"top{at}"),
+            F.count(key).alias(f"rows{at}"),
+        )
+    ])
+
+    def hot(at: int) -> Column:
+        """(value, shares) of the values that hold more than one share."""
+        held = F.filter(f"top{at}", lambda e: e["item"].isNotNull() & (e["count"] * partitions > F.col(f"rows{at}")))
+        return F.transform(held, lambda e: F.struct(
+            e["item"], F.ceil(e["count"] * partitions / F.col(f"rows{at}")).cast("int")
+        ))
+
+    # Fewer entries than partitions for each key come to the driver.
+    found = sketches.select(*map(hot, range(len(keys)))).first()
+    return {
+        key: spark.createDataFrame(entries, T.StructType([
+            T.StructField("_busy", rows.schema[key].dataType), T.StructField("_salts", T.IntegerType()),
+        ]))
+        for key, entries in zip(keys, found)
+    }
 
 
 def busy_keys(rows: DataFrame, key: str) -> DataFrame:

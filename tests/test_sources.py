@@ -58,15 +58,19 @@ def test_mart_over_files(spark, tmp_path):
 
 
 def test_a_hot_year_is_written_by_many_tasks(spark, tmp_path):
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "128k")
+    # The rows are few and alike, so Spark would merge their partitions up to its least size.
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         hot = raw_rows(spark, {}).withColumn("load_id", F.explode(F.sequence(F.lit(1), F.lit(30000))))
         cold = raw_rows(spark, {"load_id": 0, "delivery_date": "5/1/2020 0:00"})
         LoadMart(spark, lambda: hot.repartition(8).union(cold), str(tmp_path / "m")).facts.count()
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     files = {y: len(list((tmp_path / "m/fct_loads" / f"delivery_year={y}").glob("*.parquet")))
              for y in (2020, 2024)}
     assert files[2020] == 1 and files[2024] > 3
