@@ -12,6 +12,7 @@ import re
 import warnings
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -19,17 +20,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrid.llm.common import mapped, stored, table
+from haulgrid.llm.common import stored, table
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Clusters of texts; one topic more is for texts without a word.
 TOPICS = 7
-#: Texts that the clusters are fitted on, at most about. All texts are then dealt to them.
-SAMPLE = 2000
 #: Places that words are hashed to, and words whose place a worker keeps.
 PLACES = 1024
 KEPT_WORDS = 100_000
 STEPS = 20
+#: Rows whose vectors a task spreads out at a time.
+AT_ONCE = 500
+#: Numbers are added up as whole multiples of one over this, so the order of the terms plays no part.
+FIXED = float(1 << 24)
+#: A vector that is no farther than this from its language's mean is at it.
+AT_MEAN = 1e-3
 #: Targets are shares raised to this power, which lifts what is rare.
 TEMPERATURE = 0.5
 ROUNDS = 50
@@ -54,114 +59,274 @@ class Topics:
         self.number = {language: at for at, language in enumerate(languages)}
         self.means, self.rare, self.centres = means, rare, centres
         self.apart = means @ centres.T  # what a language's mean adds to each centre
-        self.places: dict[str, int] = {}
-
-    def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The places of a whole text's words, and how often they occur, damped."""
-        if len(self.places) > KEPT_WORDS:
-            self.places.clear()
-        places, known = Counter(), self.places
-        for word, times in Counter(_WORD.findall((text or "").lower())).items():
-            place = known.get(word)
-            if place is None:
-                place = known[word] = zlib.crc32(word.encode()) % PLACES
-            places[place] += times
-        at = np.fromiter(places.keys(), np.int64, len(places))
-        return at, np.sqrt(np.fromiter(places.values(), np.float64, len(places)))
-
-    def weighed(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The places and their weights, rare words more, of length one together."""
-        at, values = self.counted(text)
-        values = values * self.rare[at]
-        size = np.sqrt((values * values).sum())
-        return at, values / size if size else values
-
-    def topic(self, text: str | None, language: str | None) -> str:
-        """The number of the nearest centre, from 1 on; 0 of a text without a word."""
-        at, values = self.weighed(text)
-        if not len(at):
-            return "0"
-        if not len(self.centres):
-            return "1"
-        near = self.centres[:, at] @ values
-        if language in self.number:
-            near = near - self.apart[self.number[language]]
-        return str(1 + int(near.argmax()))
-
-
-def fit_topics(docs: DataFrame, topics: int = TOPICS, sample: int = SAMPLE) -> Topics:
-    """Cluster a draw by hash of about ``sample`` of the distinct texts, by spherical k-means.
 
-    A text is the square roots of its word counts, times the logarithm of how rare they are, less
-    the mean of its language, so that clusters are not the languages over again. The first centre is the
-    text farthest from the mean, each next one that farthest from those before.
+    def of(self, at: pd.Series, n: pd.Series, languages: pd.Series) -> list[str]:
+        """The number of each text's nearest centre, from 1 on; 0 of a text without a word."""
+        found = []
+        for begin in range(0, len(at), AT_ONCE):
+            some = at.iloc[begin: begin + AT_ONCE]
+            if len(self.centres):
+                near = _near(*_unit(some, n.iloc[begin: begin + AT_ONCE], self.rare), len(some), self.centres)
+                for row, language in enumerate(languages.iloc[begin: begin + AT_ONCE]):
+                    number = self.number.get(None if pd.isna(language) else language)
+                    if number is not None:
+                        near[row] -= self.apart[number]
+                nearest = _first_largest(near)
+            else:
+                nearest = np.zeros(len(some), np.int64)
+            found += [str(1 + int(one)) if len(places) else "0" for places, one in zip(some, nearest)]
+        return found
+
+
+def with_words(docs: DataFrame, *carried: Column) -> DataFrame:
+    """(doc_id, text_hash, source, lang, what is to be carried, tokens, at, n) of each row, stored.
+
+    ``docs`` has doc_id, text, source and lang. Tokens are what blanks separate. ``at`` are the places
+    that the words of the whole text are hashed to, ascending, as 16-bit numbers, and ``n`` how often words
+    of each occur, damped, as 32-bit floats. Each text is read once; all that follows goes over these.
     """
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    share = min(1.0, sample / max(rows.count(), 1))
-    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).where("text is not null")
-    plain = Topics([], np.zeros((0, PLACES)), np.ones(PLACES), np.zeros((0, PLACES)))
-
-    def counted(batch: pd.DataFrame) -> pd.DataFrame:
-        found = [plain.counted(text) for text in batch["text"]]
-        return pd.DataFrame({"lang": batch["lang"], "at": [at for at, _ in found], "n": [n for _, n in found]})
-
-    found = mapped(drawn, counted, "lang string, at array<long>, n array<double>").where(F.size("at") > 0).distinct()
-    table_ = found.orderBy("lang", "at", "n").toPandas()
-    if not len(table_):
-        return plain
-    vectors = np.zeros((len(table_), PLACES), np.float32)
-    for row, (at, n) in enumerate(zip(table_["at"], table_["n"])):
-        vectors[row, at] = n
-    rare = np.log((1 + len(vectors)) / (1 + (vectors > 0).sum(axis=0))) + 0.1
-    vectors *= rare.astype(np.float32)
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-    names = [None if pd.isna(name) else name for name in table_["lang"]]
-    languages = sorted(set(names), key=lambda name: (name is not None, name))
-    own = np.array([languages.index(name) for name in names])
-    means = np.stack([vectors[own == at].mean(axis=0) for at in range(len(languages))])
-    vectors -= means[own]
-    return Topics(languages, means, rare, _centres(vectors, topics))
-
-
-def _centres(vectors: np.ndarray, number: int) -> np.ndarray:
-    sizes = np.linalg.norm(vectors, axis=1, keepdims=True)
-    vectors = vectors / np.where(sizes > 1e-9, sizes, 1)
-    chosen = [int(sizes.argmax())]
-    near = vectors @ vectors[chosen[0]]
-    for _ in range(min(number, len(vectors)) - 1):
-        chosen.append(int(near.argmin()))
-        near = np.maximum(near, vectors @ vectors[chosen[-1]])
-    centres = vectors[chosen]
+    known: dict[str, int] = {}
+
+    @F.pandas_udf("tokens long, at binary, n binary")
+    def counted(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts:
+            text = text or ""
+            if len(known) > KEPT_WORDS:
+                known.clear()
+            places = Counter()
+            for word, times in Counter(_WORD.findall(text.lower())).items():
+                place = known.get(word)
+                if place is None:
+                    place = known[word] = zlib.crc32(word.encode()) % PLACES
+                places[place] += times
+            at = sorted(places)
+            n = np.sqrt(np.fromiter(map(places.get, at), np.float64, len(at)))
+            out.append((len(text.encode().split()), np.array(at, "<u2").tobytes(), n.astype("<f4").tobytes()))
+        return pd.DataFrame(out, columns=["tokens", "at", "n"])
+
+    text = F.col("text").cast("string")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+        F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), *carried,
+        counted(text).alias("_counted"),
+    )
+    return stored(rows.select("*", "_counted.*").drop("_counted"), "words")
+
+
+def _spread(at: pd.Series, values: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, value) of all entries of some vectors."""
+    sizes = np.fromiter(map(len, at), np.int64, len(at)) // 2
+    places = np.frombuffer(b"".join(at), "<u2").astype(np.int64)
+    return np.repeat(np.arange(len(at)), sizes), places, np.frombuffer(b"".join(values), "<f4").astype(np.float64)
+
+
+def _unit(at: pd.Series, n: pd.Series, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, value) of texts' vectors of length one, rare words weighing more."""
+    rows, places, values = _spread(at, n)
+    values = values * rare[places]
+    sizes = np.sqrt(np.bincount(rows, values * values, len(at)))
+    return rows, places, values / sizes[rows]
+
+
+def _near(rows: np.ndarray, places: np.ndarray, values: np.ndarray, number: int, others: np.ndarray) -> np.ndarray:
+    """The products of so many sparse vectors with others."""
+    dense = np.zeros((number, PLACES))
+    dense[rows, places] = values
+    return dense @ others.T
+
+
+def _first_largest(near: np.ndarray) -> np.ndarray:
+    """The first place of the largest of each row; what differs by rounding alone is equal."""
+    return np.round(near, 9).argmax(axis=1)
+
+
+def _added(found: DataFrame, *by: str) -> pd.DataFrame:
+    """Exact sums of whole numbers per group; the driver gets one row a place of each."""
+    return found.groupBy(*by).agg(F.sum(F.col("n").cast("decimal(20,0)")).alias("n")).toPandas()
+
+
+def _frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows, some at a time, so that what is spread out of them stays small."""
+    for frame in frames:
+        for begin in range(0, len(frame), AT_ONCE):
+            yield frame.iloc[begin: begin + AT_ONCE]
+
+
+def _sums(keys: list, sums: list[np.ndarray], name: str) -> pd.DataFrame:
+    """Rows (key, place, n) of the sums that are not zero."""
+    sums = np.stack(sums) if sums else np.zeros((0, PLACES))
+    at, places = np.nonzero(sums)
+    return pd.DataFrame({name: [keys[i] for i in at], "place": places, "n": sums[at, places].astype(np.int64)})
+
+
+def _occurring(vectors: DataFrame) -> np.ndarray:
+    """In how many vectors each place occurs."""
+    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(PLACES, np.int64)
+        for frame in _frames(frames):
+            sums += np.bincount(_spread(frame["at"], frame["n"])[1], minlength=PLACES)
+        yield pd.DataFrame({"place": np.arange(PLACES), "n": sums})
+
+    found = _added(vectors.mapInPandas(counted, "place int, n long"), "place")
+    out = np.zeros(PLACES)
+    out[found["place"].to_numpy(int)] = found["n"].astype(float)
+    return out
+
+
+def _language_means(vectors: DataFrame, rare: np.ndarray) -> tuple[list[str | None], np.ndarray]:
+    """The languages, and the mean of the unit vectors of each."""
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[str | None, np.ndarray] = {}
+        for frame in _frames(frames):
+            rows, places, values = _unit(frame["at"], frame["n"], rare)
+            names = [None if pd.isna(name) else name for name in frame["lang"]]
+            number = {name: at for at, name in enumerate(dict.fromkeys(names))}
+            own = np.fromiter(map(number.get, names), np.int64, len(names))
+            got = np.bincount(own[rows] * PLACES + places, np.rint(values * FIXED), len(number) * PLACES)
+            for name, one in zip(number, got.reshape(-1, PLACES)):
+                sums[name] = sums.get(name, 0) + one.astype(np.int64)
+        yield _sums(list(sums), list(sums.values()), "lang")
+
+    many = {row.lang: row["count"] for row in vectors.groupBy("lang").count().collect()}
+    languages = sorted(many, key=lambda name: (name is not None, name))
+    number = {name: at for at, name in enumerate(languages)}
+    means = np.zeros((len(languages), PLACES))
+    found = _added(vectors.mapInPandas(summed, "lang string, place int, n long"), "lang", "place")
+    own = [number[None if pd.isna(name) else name] for name in found["lang"]]
+    means[own, found["place"].to_numpy(int)] = found["n"].astype(float) / FIXED
+    return languages, means / np.array([[many[name]] for name in languages])
+
+
+def _units(vectors: DataFrame, languages: list[str | None], means: np.ndarray, rare: np.ndarray) -> DataFrame:
+    """(own, at, value, size) of each vector: the number of its language, its entries at length one,
+    and its distance from the language's mean."""
+    number = {language: at for at, language in enumerate(languages)}
+    lengths = (means * means).sum(axis=1)
+
+    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _frames(frames):
+            rows, places, values = _unit(frame["at"], frame["n"], rare)
+            values = values.astype("<f4")
+            own = np.array([number[None if pd.isna(name) else name] for name in frame["lang"]], np.int64)
+            exact = values.astype(np.float64)
+            square = np.bincount(rows, exact * (exact - 2 * means[own[rows], places]), len(frame)) + lengths[own]
+            ends = np.cumsum(np.bincount(rows, minlength=len(frame)))
+            yield pd.DataFrame({
+                "own": own, "at": frame["at"], "value": [values[i:j].tobytes() for i, j in zip([0, *ends[:-1]], ends)],
+                "size": np.round(np.sqrt(np.maximum(square, 0)), 9),
+            })
+
+    return stored(vectors.mapInPandas(of, "own int, at binary, value binary, size double"), "units")
+
+
+def _parted(frame: pd.DataFrame, others: np.ndarray, apart: np.ndarray):
+    """A batch's (row, place, value), languages, sizes, and products of what is left of each vector
+    without its language's mean, at length one, with others. Of one at the mean nothing is left."""
+    rows, places, values = _spread(frame["at"], frame["value"])
+    own, size = frame["own"].to_numpy(np.int64), frame["size"].to_numpy(float)
+    left = np.where(size > AT_MEAN, 1 / np.maximum(size, AT_MEAN), 0.0)
+    near = (_near(rows, places, values, len(frame), others) - apart[own]) * left[:, None]
+    return rows, places, values, own, left, near
+
+
+def _farthest(units: DataFrame, means: np.ndarray, chosen: np.ndarray):
+    """The vector whose nearest of those chosen is farthest: (own, at, value, size)."""
+    apart = means @ chosen.T
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least = None
+        for frame in _frames(frames):
+            near = np.round(_parted(frame, chosen, apart)[-1].max(axis=1), 9)
+            some = frame[near == near.min()]
+            one = min(zip([near.min()] * len(some), some["own"], some["at"], some["value"], some["size"]))
+            least = one if least is None else min(least, one)
+        if least is not None:
+            yield pd.DataFrame([least], columns=["near", "own", "at", "value", "size"])
+
+    found = units.mapInPandas(best, "near double, own int, at binary, value binary, size double")
+    return found.orderBy("near", "own", "at", "value").first()
+
+
+def _centres(units: DataFrame, means: np.ndarray, number: int) -> np.ndarray:
+    """Spherical k-means over all units: a step is one job, which adds up exact whole numbers."""
+    def point(row) -> np.ndarray:
+        out = -means[row.own]
+        _, places, values = _spread([row.at], [row.value])
+        out[places] += values
+        return out / row.size if row.size > AT_MEAN else np.zeros(PLACES)
+
+    chosen = [point(units.orderBy(F.desc("size"), "own", "at", "value").first())]
+    for _ in range(number - 1):
+        chosen.append(point(_farthest(units, means, np.stack(chosen))))
+    centres = np.stack(chosen)
+    languages = len(means)
     for _ in range(STEPS):
-        own = (vectors @ centres.T).argmax(axis=1)
-        sums = np.stack([vectors[own == at].sum(axis=0) for at in range(len(centres))])
+        apart = means @ centres.T
+
+        def summed(frames: Iterator[pd.DataFrame], centres=centres, apart=apart) -> Iterator[pd.DataFrame]:
+            # Of each centre the sums of the vectors, and for each language what they lack of its mean.
+            sums, shares = np.zeros(number * PLACES, np.int64), np.zeros(number * languages, np.int64)
+            for frame in _frames(frames):
+                rows, places, values, own, left, near = _parted(frame, centres, apart)
+                to = _first_largest(near)
+                got = np.bincount(to[rows] * PLACES + places, np.rint(values * left[rows] * FIXED), len(sums))
+                sums += got.astype(np.int64)
+                shares += np.bincount(to * languages + own, np.rint(left * FIXED), len(shares)).astype(np.int64)
+            for kind, width, found in (("sum", PLACES, sums), ("share", languages, shares)):
+                at = np.flatnonzero(found)
+                yield pd.DataFrame({"kind": kind, "centre": at // width, "place": at % width, "n": found[at]})
+
+        found = _added(units.mapInPandas(summed, "kind string, centre int, place int, n long"), "kind", "centre", "place")
+        parts = {"sum": np.zeros((number, PLACES)), "share": np.zeros((number, languages))}
+        for kind, into in parts.items():
+            of = found[found["kind"] == kind]
+            into[of["centre"].to_numpy(int), of["place"].to_numpy(int)] = of["n"].astype(float) / FIXED
+        sums = parts["sum"] - parts["share"] @ means
         length = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(length > 1e-9, sums / np.where(length > 1e-9, length, 1), centres)
-    return centres.astype(np.float64)
+        before, centres = centres, np.where(length > 1e-6, sums / np.where(length > 1e-6, length, 1), centres)
+        if np.array_equal(before, centres):
+            break
+    return centres
+
+
+def _topics(words: DataFrame, topics: int) -> Topics:
+    vectors = stored(words.where(F.length("at") > 0).select("lang", "at", "n").distinct(), "vectors")
+    number = vectors.count()
+    if not number:
+        return Topics([], np.zeros((0, PLACES)), np.ones(PLACES), np.zeros((0, PLACES)))
+    rare = np.log((1 + number) / (1 + _occurring(vectors))) + 0.1
+    languages, means = _language_means(vectors, rare)
+    units = _units(vectors, languages, means, rare)
+    return Topics(languages, means, rare, _centres(units, means, min(topics, number)))
+
+
+def fit_topics(docs: DataFrame, topics: int = TOPICS) -> Topics:
+    """Cluster all distinct texts by spherical k-means.
+
+    A text is the square roots of its word counts, times the logarithm of how rare they are, less
+    the mean of its language, so that clusters are not the languages over again. The first centre is the
+    text farthest from the mean, each next one that farthest from those before. Sums are of whole
+    numbers, so the clusters do not depend on how rows are dealt to tasks.
+    """
+    return _topics(with_words(docs), topics)
 
 
 def with_topics(docs: DataFrame, *carried: Column, topics: Topics | None = None) -> DataFrame:
-    """(doc_id, text_hash, source, lang, topic, tokens) of each row, and what else is to be carried.
+    """(doc_id, text_hash, source, lang, what is to be carried, topic, tokens) of each row.
 
     ``docs`` has doc_id, text, source and lang. Tokens are the words, which are what blanks
     separate. Without ``topics`` they are fitted on the documents.
     """
-    topics = fit_topics(docs) if topics is None else topics
+    words = with_words(docs, *carried)
+    topics = _topics(words, TOPICS) if topics is None else topics
 
-    @F.pandas_udf("topic string, tokens long")
-    def found(texts: pd.Series, languages: pd.Series) -> pd.DataFrame:
-        languages = [None if pd.isna(name) else name for name in languages]
-        return pd.DataFrame({
-            "topic": [topics.topic(text, language) for text, language in zip(texts, languages)],
-            "tokens": [len((text or "").encode().split()) for text in texts],
-        })
+    @F.pandas_udf("string")
+    def found(at: pd.Series, n: pd.Series, languages: pd.Series) -> pd.Series:
+        return pd.Series(topics.of(at, n, languages), dtype=object)
 
-    text, lang = F.col("text").cast("string"), F.col("lang").cast("string")
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-        F.col("source").cast("string").alias("source"), lang.alias("lang"), *carried, found(text, lang).alias("_found"),
-    )
-    return rows.select("*", "_found.*").drop("_found")
+    rest = [F.col(c) for c in words.columns if c not in ("tokens", "at", "n")]
+    return words.select(*rest, found("at", "n", "lang").alias("topic"), "tokens")
 
 
 def tempered(cells: DataFrame, temperature: float = TEMPERATURE, dimensions=DIMENSIONS) -> DataFrame:

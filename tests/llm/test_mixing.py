@@ -1,10 +1,13 @@
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.brute import raked as brute
 from tests.llm.brute import uniform
 
-from haulgrid.llm.mixing import fit_topics, fitted, goals, mixture, raked, with_topics
+from haulgrid.llm.mixing import PLACES, fit_topics, fitted, goals, mixture, raked, with_topics
 
 KINDS = "doc_id long, text_hash long, source string, lang string, topic string, tokens long, weight string"
 
@@ -162,3 +165,40 @@ def test_texts_without_words_and_strange_ones(spark):
     assert found == [(1, False, 0), (2, False, 0), (3, False, 1), (4, True, 1), (4, True, 50_000)]
     empty = with_topics(docs.limit(0))
     assert empty.count() == 0 and empty.columns == ["doc_id", "text_hash", "source", "lang", "topic", "tokens"]
+
+
+def test_topics_are_fitted_on_all_distinct_texts(spark):
+    random = np.random.default_rng(5)
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"]
+    table = [(i, " ".join(random.choice(words[40 * (i % 3):][:70], 30)), [None, "de", "en"][i % 7 % 3], "s") for i in range(3500)]
+    table += [(9000 + i, table[0][1], table[0][2], "s") for i in range(300)]  # copies count once
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string")
+    topics = fit_topics(docs, topics=4)
+
+    texts = sorted({(lang or "", text) for _, text, lang, _ in table})
+    vectors = np.zeros((len(texts), PLACES))
+    for row, (_, text) in enumerate(texts):
+        for word, times in Counter(text.split()).items():
+            vectors[row, zlib.crc32(word.encode()) % PLACES] += times
+    vectors = np.unique(np.column_stack([np.sqrt(vectors), [["", "de", "en"].index(lang) for lang, _ in texts]]), axis=0)
+    vectors, own = vectors[:, :-1], vectors[:, -1].astype(int)
+    rare = np.log((1 + len(vectors)) / (1 + (vectors > 0).sum(axis=0))) + 0.1
+    assert np.allclose(topics.rare, rare)
+    vectors = vectors * rare
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    means = np.stack([vectors[own == at].mean(axis=0) for at in range(3)])
+    assert list(topics.number) == [None, "de", "en"] and np.allclose(topics.means, means, atol=1e-6)
+    vectors -= means[own]
+    sizes = np.linalg.norm(vectors, axis=1)
+    vectors /= sizes[:, None]
+    chosen = [int(sizes.argmax())]
+    while len(chosen) < 4:
+        chosen.append(int((vectors @ vectors[chosen].T).max(axis=1).argmin()))
+    centres = vectors[chosen]
+    for _ in range(20):
+        to = (vectors @ centres.T).argmax(axis=1)
+        centres = np.stack([vectors[to == at].sum(axis=0) for at in range(4)])
+        centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    assert np.allclose(topics.centres, centres, atol=1e-4)
+    again = fit_topics(docs.repartition(7), topics=4)
+    assert np.array_equal(again.centres, topics.centres)
