@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulgrid.functions.cleaning import LANE_SHAPE
+from haulgrid.operators.dedupe import repeated_keys, with_keys
 from haulgrid.sources.landing import quoted
 
 
@@ -18,12 +19,13 @@ def shape(raw: DataFrame) -> DataFrame:
 def duplicates(raw: DataFrame, key: str) -> DataFrame:
     """Ids that occur more than once, and rows that repeat another row in full.
 
-    Of a row only the id and 128 bits of hash are shuffled. The hashes pass over missing values,
-    so they also take which ones are missing. Copies are counted before the shuffle.
+    Of most rows only the id is shuffled; of those whose id occurs again also 128 bits of hash. The
+    hashes pass over missing values, so they also take which ones are missing. Copies are counted
+    before the shuffle.
     """
     columns = [quoted(c) for c in raw.columns]
     missing = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
-    copies = raw.groupBy(
+    copies = with_keys(raw, key, repeated_keys(raw, key)).groupBy(
         key, F.xxhash64(missing, *columns).alias("_one"), F.xxhash64(F.lit(1), *columns, missing).alias("_two")
     ).agg(F.count("*").alias("_copies"))
     ids = copies.groupBy(key).agg(F.sum("_copies").alias("_rows"), F.count("*").alias("_kinds"))

@@ -151,16 +151,26 @@ def calendar_dimension(staged: DataFrame) -> DataFrame:
     )
 
 
+def with_dates(staged: DataFrame) -> DataFrame:
+    """Staged loads with the date of each lifecycle timestamp."""
+    return staged.withColumns({date: F.col(moment).cast("date") for moment, date in ROLES.items()})
+
+
+def with_keys(loads: DataFrame) -> DataFrame:
+    """The columns of the fact, of loads with their dates. The keys are hashes, which do not
+    compress: loads are moved without them."""
+    return loads.withColumns({
+        "shipper_key": C.member_key(F.col("shipper_name")),
+        "carrier_key": C.member_key(F.col("carrier_name")),
+        "lane_key": C.lane_key(F.col("lane")),
+    }).select(*FACT_COLUMNS, *[c for c in loads.columns if c not in (*STAGED_COLUMNS, *ROLES.values())])
+
+
 def load_facts(staged: DataFrame) -> DataFrame:
     """One row per load. Keys are computed from the row itself instead of joined: every
     dimension is built from these rows with the same key, and the relationship checks prove it.
     """
-    return staged.withColumns({
-        "shipper_key": C.member_key(F.col("shipper_name")),
-        "carrier_key": C.member_key(F.col("carrier_name")),
-        "lane_key": C.lane_key(F.col("lane")),
-        **{date: F.col(moment).cast("date") for moment, date in ROLES.items()},
-    }).select(*FACT_COLUMNS)
+    return with_keys(with_dates(staged)).select(*FACT_COLUMNS)
 
 
 def facts_by_lookup(

@@ -21,14 +21,16 @@ CLUSTER_CONF = {
     # The JVM leaves methods of more than 8000 bytes to its interpreter, so Spark is told to split
     # what would generate a larger one, as the wide projections here do.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Questions that run side by side share the cluster, see plans/suite.py.
-    "spark.scheduler.mode": "FAIR",
 }
 
+# Settings that only a new application takes. Questions that run side by side share the cluster,
+# see plans/suite.py.
+START_CONF = {"spark.scheduler.mode": "FAIR"}
+
 
 def cluster_session(app: str = "haulgrid", **conf: str) -> SparkSession:
     """A session with the settings for a large cluster; others, and the master, come from outside."""
-    builder = SparkSession.builder.appName(app).config(map=CLUSTER_CONF)
+    builder = SparkSession.builder.appName(app).config(map={**CLUSTER_CONF, **START_CONF})
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -47,7 +49,7 @@ def local_session(app: str = "haulgrid", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.scheduler.mode", "FAIR")
+        .config(map=START_CONF)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

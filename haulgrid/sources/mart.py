@@ -51,24 +51,26 @@ class LoadMart:
         with _BUILDING:
             if name not in self._built:
                 rows = build()
-                self.write(name, rows, path)
+                self.write(name, rows, path, laid_out=True)
                 self._built[name] = rows.schema
             if name not in self._frames:
                 self._frames[name] = self.spark.read.schema(self._built[name]).parquet(path)
             return self._frames[name]
 
-    def write(self, name: str, rows: DataFrame, path: str) -> None:
-        """Write a table in its layout."""
+    @staticmethod
+    def _laid_out(loads: DataFrame) -> DataFrame:
+        """Loads with the year of their delivery, in ranges of date and id: files do not overlap in
+        dates but at their edges, and a day with most loads, or loads without a date, are split by id."""
+        loads = loads.withColumn(FACT_PARTITION, F.year("delivery_date"))
+        return loads.repartitionByRange("delivery_date", "load_id").sortWithinPartitions(FACT_PARTITION, "delivery_date")
+
+    def write(self, name: str, rows: DataFrame, path: str, laid_out: bool = False) -> None:
+        """Write a table in its layout; rows of the fact may have it."""
+        if name == "fct_loads" and not laid_out:
+            rows = self._laid_out(rows)
         writer = rows.write.mode("overwrite")
         if name == "fct_loads":
-            # Ranges of date and id: files do not overlap in dates but at their edges, and a day
-            # with most loads, or loads without a date, are split by id.
-            writer = (
-                rows.repartitionByRange("delivery_date", "load_id")
-                .sortWithinPartitions(FACT_PARTITION, "delivery_date")
-                .write.mode("overwrite")
-                .partitionBy(FACT_PARTITION)
-            )
+            writer = writer.partitionBy(FACT_PARTITION)
         if name == "load_parts":
             writer = writer.partitionBy("kind")
         writer.parquet(path)
@@ -81,9 +83,8 @@ class LoadMart:
             "dim_carrier": lambda: models.carrier_dimension(self.staged),
             "dim_lane": lambda: models.lane_dimension(self.staged),
             "dim_date": lambda: models.calendar_dimension(self.staged),
-            "fct_loads": lambda: models.load_facts(self.staged).withColumn(
-                FACT_PARTITION, F.year("delivery_date")
-            ),
+            # The keys are added once the loads are where they stay.
+            "fct_loads": lambda: models.with_keys(self._laid_out(models.with_dates(self.staged))),
         }
 
     @property

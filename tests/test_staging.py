@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from haulgrid.functions import cleaning as C
 from haulgrid.operators.dedupe import first_copy
 from haulgrid.plans import models as M
-from tests.helpers import raw_rows
+from tests.helpers import mart_of, raw_rows
 
 
 def staged(spark, *changes):
@@ -155,3 +155,31 @@ def test_joined_and_computed_keys_agree(mart):
     computed = mart.facts.select("load_id", "shipper_key", "carrier_key", "lane_key")
     assert joined.exceptAll(computed).count() == 0
     assert joined.count() == computed.count()
+
+
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_only_rows_of_repeated_ids_are_moved(spark, monkeypatch, small):
+    from haulgrid.operators import dedupe, profile
+
+    monkeypatch.setattr(dedupe, "SMALL", small)
+    once = [{"load_id": i} for i in range(10, 400)]
+    raw = raw_rows(spark, *DUPLICATES, {"load_id": None}, {"load_id": None}, {"load_id": None, "quote_date": "0"}, *once).repartition(4)
+    kept = first_copy(raw, "load_id", ["quote_date", "book_date"])
+    found = [(r.load_id, r.quote_date, r.book_price) for r in kept.collect()]
+    assert len(found) == 394 and len({i for i, *_ in found}) == 394
+    assert {r for r in found if r[0] in (None, 7, 8)} == {
+        (None, "0", 100.0), (7, "10/1/2024 0:00", 1.0), (8, "9/1/2024 0:00", 4.0)}
+    assert profile.duplicates(raw, "load_id").collect() == [(3, 1)]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # The window sees what the join with the repeated ids leaves, and nothing else is sorted.
+    assert plan.startswith("Union") and "LeftSemi" in plan and "LeftAnti" in plan
+
+
+def test_facts_are_moved_without_their_keys(spark, tmp_path):
+    m = mart_of(spark, tmp_path, {}, {"delivery_date": None})
+    rows = m._builders()["fct_loads"]()
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RepartitionByExpression"):]
+    assert "md5" in plan and "md5" not in moved
+    assert rows.columns == [*M.FACT_COLUMNS, "delivery_year"]
+    assert m.facts.drop("delivery_year").exceptAll(M.load_facts(m.staged)).count() == 0
