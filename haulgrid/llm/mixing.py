@@ -31,6 +31,8 @@ KEPT_WORDS = 100_000
 STEPS = 20
 #: Rows whose vectors a task spreads out at a time.
 AT_ONCE = 500
+#: Vectors whose products are taken at a time.
+FEW = 32
 #: Numbers are added up as whole multiples of one over this, so the order of the terms plays no part.
 FIXED = float(1 << 24)
 #: A vector that is no farther than this from its language's mean is at it.
@@ -130,10 +132,13 @@ def _unit(at: pd.Series, n: pd.Series, rare: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _near(rows: np.ndarray, places: np.ndarray, values: np.ndarray, number: int, others: np.ndarray) -> np.ndarray:
-    """The products of so many sparse vectors with others."""
-    dense = np.zeros((number, PLACES))
+    """The products of so many sparse vectors with others, few at a time: of larger products numpy
+    makes several threads, whose waiting takes more of the processors than the product."""
+    dense, out = np.zeros((number, PLACES)), np.empty((number, len(others)))
     dense[rows, places] = values
-    return dense @ others.T
+    for at in range(0, number, FEW):
+        out[at: at + FEW] = dense[at: at + FEW] @ others.T
+    return out
 
 
 def _first_largest(near: np.ndarray) -> np.ndarray:
