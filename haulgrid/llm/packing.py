@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -56,6 +57,18 @@ _BLANK = re.compile(r"[ \t\n\r]")
 #: apostrophe before letters would take some of them along.
 _WORD = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 _DIGITS = re.compile(r"[0-9]+")
+#: ASCII marks.
+_MARKS = string.punctuation
+
+
+def _parts(word: str) -> tuple[str, str, str] | None:
+    """The marks before a plain word, its letters and the marks behind; None of any other word."""
+    letters = word.strip(_MARKS)
+    if not (letters.isalpha() and letters.isascii()):
+        match = _WORD.fullmatch(word)
+        return match and match.groups()
+    at = word.find(letters)
+    return None if "'" in word[:at] else (word[:at], letters, word[at + len(letters):])
 
 
 class Encoder(dict):
@@ -77,29 +90,24 @@ class Encoder(dict):
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.letters = {at: split(chr(at))[0][0] for at in range(0xC0, 0x100) if chr(at) not in "×÷"}
         # Such a token in a text is itself, whatever it is made of.
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain: dict[str, bytes] = {}
+        special = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or "(?!)").search
+        self.tokenize = self.tokenizer.model.tokenize
 
     def _whole(self, text: str) -> bytes:
         return b"".join([self.bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def _letters(self, word: str) -> bytes:
-        ids = self.plain.get(word)
-        if ids is None:
-            if len(self.plain) > KEPT_PLAIN:
-                self.plain.clear()
-            given = word if word.isascii() else word.translate(self.letters)
-            ids = b"".join([self.bytes[token.id] for token in self.tokenizer.model.tokenize(given)])
-            if len(word) <= KEPT_LETTERS:
-                self.plain[word] = ids
-        return ids
+        given = word if word.isascii() else word.translate(self.letters)
+        return b"".join([self.bytes[token.id] for token in self.tokenize(given)])
 
     def __missing__(self, word: str) -> bytes:
-        """Learn the ids of a word."""
-        match = _WORD.fullmatch(word)
-        if match and not any(token in word for token in self.special):
-            before, letters, behind = match.groups()
-            ids = self._letters(letters.lower())
+        """Learn the ids of a word; those of its letters in lower case are kept once for all its forms."""
+        parts = _parts(word)
+        if parts and not self.special(word):
+            before, letters, behind = parts
+            lower = letters.lower()
+            ids = self._letters(lower) if lower == word or self.special(lower) else self[lower]
             if before:
                 ids = self[before] + ids
             if behind:
@@ -114,7 +122,7 @@ class Encoder(dict):
 
     def encoded(self, text: str) -> bytes:
         """The ids of a text."""
-        if len(self) > KEPT_WORDS:
+        if len(self) > KEPT_WORDS + KEPT_PLAIN:
             self.clear()
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.__getitem__, words))

@@ -135,3 +135,12 @@ def test_packer_pads_little_and_balances(lengths):
     for step, size, _ in windows:
         steps[step] += size
     assert max(steps.values()) - min(steps.values()) <= SIZES[-1] and min(steps.values()) >= STEP // 2 or len(steps) == 1
+
+
+def test_letters_are_tokenized_once_for_all_forms_of_a_word(model):
+    encoder = packing.Encoder(model)
+    seen, tokenize = [], encoder.tokenize
+    encoder.tokenize = lambda word: (seen.append(word), tokenize(word))[1]
+    text = "Qzword qzword, (QZWORD) qzword. \"Qzword!\" Ärger ärger; 'Qzword don't qzword's"
+    assert ids_of(encoder.encoded(text)) == whole_ids(text)[:-1]
+    assert seen.count("qzword") == 1 and len(seen) == 2
