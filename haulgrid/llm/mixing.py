@@ -9,25 +9,29 @@ the same way, but bounded by one: what a small cell cannot give, others of the s
 from __future__ import annotations
 
 import re
+import string
 import warnings
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from haulgrid.llm.common import stored, table
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Clusters of texts; one topic more is for texts without a word.
 TOPICS = 7
-#: Places that words are hashed to, and words whose place a worker keeps.
+#: Places that words are hashed to; what stands between blanks of which a worker keeps the place, and its bytes at most.
 PLACES = 1024
 KEPT_WORDS = 100_000
+KEPT_BYTES = 40
 STEPS = 20
 #: Rows whose vectors a task spreads out at a time.
 AT_ONCE = 500
@@ -52,6 +56,43 @@ TOLERANCE = 0.01
 HERE = 100_000
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: ASCII marks and digits, which are in no word.
+_MARKS = (string.punctuation + string.digits).encode()
+
+
+class Places(dict):
+    """The place of the word in what stands between two blanks, ``PLACES`` if it has none.
+
+    What has several words is not kept: it has none either, and their places are added to ``more``.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.more: list[int] = []
+
+    def __missing__(self, token: bytes) -> int:
+        word = token.strip(_MARKS)
+        # Letters of ASCII alone are one word; no lower case reaches over a blank, so others are taken by themselves.
+        words = [word.lower()] if word.isalpha() else [found.encode() for found in _WORD.findall(word.decode().lower())]
+        places = [zlib.crc32(found) % PLACES for found in words]
+        if len(places) > 1:
+            self.more += places
+            return PLACES
+        place = places[0] if places else PLACES
+        if len(token) <= KEPT_BYTES:
+            self[token] = place
+        return place
+
+    def counted(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
+        """How many tokens a text has, the places of its words, ascending, and how many words each has."""
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        tokens = text.encode().split()
+        found = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        more, self.more = self.more, []
+        times = np.bincount(np.append(found, more).astype(np.int64), minlength=PLACES + 1)[:PLACES]
+        at = np.flatnonzero(times)
+        return len(tokens), at, times[at]
 
 
 class Topics:
@@ -68,7 +109,8 @@ class Topics:
         for begin in range(0, len(at), AT_ONCE):
             some = at.iloc[begin: begin + AT_ONCE]
             if len(self.centres):
-                near = _near(*_unit(some, n.iloc[begin: begin + AT_ONCE], self.rare), len(some), self.centres)
+                entries = _unit(pa.array(some, pa.binary()), pa.array(n.iloc[begin: begin + AT_ONCE], pa.binary()), self.rare)
+                near = _near(*entries, len(some), self.centres)
                 for row, language in enumerate(languages.iloc[begin: begin + AT_ONCE]):
                     number = self.number.get(None if pd.isna(language) else language)
                     if number is not None:
@@ -87,24 +129,14 @@ def with_words(docs: DataFrame, *carried: Column) -> DataFrame:
     that the words of the whole text are hashed to, ascending, as 16-bit numbers, and ``n`` how often words
     of each occur, damped, as 32-bit floats. Each text is read once; all that follows goes over these.
     """
-    known: dict[str, int] = {}
+    places = Places()
 
     @F.pandas_udf("tokens long, at binary, n binary")
     def counted(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
-            text = text or ""
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            places = Counter()
-            for word, times in Counter(_WORD.findall(text.lower())).items():
-                place = known.get(word)
-                if place is None:
-                    place = known[word] = zlib.crc32(word.encode()) % PLACES
-                places[place] += times
-            at = sorted(places)
-            n = np.sqrt(np.fromiter(map(places.get, at), np.float64, len(at)))
-            out.append((len(text.encode().split()), np.array(at, "<u2").tobytes(), n.astype("<f4").tobytes()))
+            tokens, at, times = places.counted(text or "")
+            out.append((tokens, at.astype("<u2").tobytes(), np.sqrt(times).astype("<f4").tobytes()))
         return pd.DataFrame(out, columns=["tokens", "at", "n"])
 
     text = F.col("text").cast("string")
@@ -116,14 +148,22 @@ def with_words(docs: DataFrame, *carried: Column) -> DataFrame:
     return stored(rows.select("*", "_counted.*").drop("_counted"), "words")
 
 
-def _spread(at: pd.Series, values: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, place, value) of all entries of some vectors."""
-    sizes = np.fromiter(map(len, at), np.int64, len(at)) // 2
-    places = np.frombuffer(b"".join(at), "<u2").astype(np.int64)
-    return np.repeat(np.arange(len(at)), sizes), places, np.frombuffer(b"".join(values), "<f4").astype(np.float64)
+def _joined(cells: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all binary cells one after the other, and how many each has; none is NULL."""
+    _, ends, data = cells.buffers()
+    wide = np.int64 if pa.types.is_large_binary(cells.type) else np.int32
+    ends = np.frombuffer(ends, wide)[cells.offset: cells.offset + len(cells) + 1] if len(cells) else np.zeros(1, wide)
+    numbers = np.frombuffer(data or b"", np.uint8)[ends[0]: ends[-1]].view(kind)
+    return numbers, np.diff(ends).astype(np.int64) // numbers.itemsize
+
 
+def _spread(at: pa.Array, values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, value) of all entries of some vectors, read where Arrow holds them."""
+    places, sizes = _joined(at, "<u2")
+    return np.repeat(np.arange(len(at)), sizes), places.astype(np.int64), _joined(values, "<f4")[0].astype(np.float64)
 
-def _unit(at: pd.Series, n: pd.Series, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def _unit(at: pa.Array, n: pa.Array, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, place, value) of texts' vectors of length one, rare words weighing more."""
     rows, places, values = _spread(at, n)
     values = values * rare[places]
@@ -134,10 +174,12 @@ def _unit(at: pd.Series, n: pd.Series, rare: np.ndarray) -> tuple[np.ndarray, np
 def _near(rows: np.ndarray, places: np.ndarray, values: np.ndarray, number: int, others: np.ndarray) -> np.ndarray:
     """The products of so many sparse vectors with others, few at a time: of larger products numpy
     makes several threads, whose waiting takes more of the processors than the product."""
-    dense, out = np.zeros((number, PLACES)), np.empty((number, len(others)))
-    dense[rows, places] = values
-    for at in range(0, number, FEW):
-        out[at: at + FEW] = dense[at: at + FEW] @ others.T
+    out = np.empty((number, len(others)))
+    ends = np.searchsorted(rows, np.arange(0, number + FEW, FEW))
+    for at, begin, end in zip(range(0, number, FEW), ends, ends[1:]):
+        dense = np.zeros((min(FEW, number - at), PLACES))
+        dense[rows[begin:end] - at, places[begin:end]] = values[begin:end]
+        out[at: at + FEW] = dense @ others.T
     return out
 
 
@@ -147,15 +189,29 @@ def _first_largest(near: np.ndarray) -> np.ndarray:
 
 
 def _added(found: DataFrame, *by: str) -> pd.DataFrame:
-    """Exact sums of whole numbers per group; the driver gets one row a place of each."""
-    return found.groupBy(*by).agg(F.sum(F.col("n").cast("decimal(20,0)")).alias("n")).toPandas()
+    """Exact sums of whole numbers per group; the driver gets one row a place of each.
+
+    Halves of 32 bits are added up apart, so no sum of as many rows as there can be overflows.
+    """
+    high, low = F.shiftright("n", 32), F.col("n").bitwiseAND(F.lit((1 << 32) - 1))
+    sums = found.groupBy(*by).agg(F.sum(high).alias("high"), F.sum(low).alias("low")).toPandas()
+    n = [(high << 32) + low for high, low in zip(sums["high"].tolist(), sums["low"].tolist())]
+    return sums.drop(columns=["high", "low"]).assign(n=np.array(n, object))
+
+
+def _over(
+    rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pd.DataFrame]], schema: str
+) -> DataFrame:
+    """Apply a function to each task's rows, given some at a time, so that what is spread out of them stays small."""
+    kinds = T.StructType.fromDDL(schema)
 
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(kinds)
+        some = (batch.slice(at, AT_ONCE) for batch in batches for at in range(0, batch.num_rows, AT_ONCE))
+        for out in function(some):
+            yield from pa.Table.from_pandas(out, arrow, preserve_index=False).to_batches()
 
-def _frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows, some at a time, so that what is spread out of them stays small."""
-    for frame in frames:
-        for begin in range(0, len(frame), AT_ONCE):
-            yield frame.iloc[begin: begin + AT_ONCE]
+    return rows.mapInArrow(over, kinds)
 
 
 def _sums(keys: list, sums: list[np.ndarray], name: str) -> pd.DataFrame:
@@ -167,13 +223,13 @@ def _sums(keys: list, sums: list[np.ndarray], name: str) -> pd.DataFrame:
 
 def _occurring(vectors: DataFrame) -> np.ndarray:
     """In how many vectors each place occurs."""
-    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(PLACES, np.int64)
-        for frame in _frames(frames):
+        for frame in frames:
             sums += np.bincount(_spread(frame["at"], frame["n"])[1], minlength=PLACES)
         yield pd.DataFrame({"place": np.arange(PLACES), "n": sums})
 
-    found = _added(vectors.mapInPandas(counted, "place int, n long"), "place")
+    found = _added(_over(vectors, counted, "place int, n long"), "place")
     out = np.zeros(PLACES)
     out[found["place"].to_numpy(int)] = found["n"].astype(float)
     return out
@@ -181,11 +237,11 @@ def _occurring(vectors: DataFrame) -> np.ndarray:
 
 def _language_means(vectors: DataFrame, rare: np.ndarray) -> tuple[list[str | None], np.ndarray]:
     """The languages, and the mean of the unit vectors of each."""
-    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def summed(frames: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         sums: dict[str | None, np.ndarray] = {}
-        for frame in _frames(frames):
+        for frame in frames:
             rows, places, values = _unit(frame["at"], frame["n"], rare)
-            names = [None if pd.isna(name) else name for name in frame["lang"]]
+            names = frame["lang"].to_pylist()
             number = {name: at for at, name in enumerate(dict.fromkeys(names))}
             own = np.fromiter(map(number.get, names), np.int64, len(names))
             got = np.bincount(own[rows] * PLACES + places, np.rint(values * FIXED), len(number) * PLACES)
@@ -197,7 +253,7 @@ def _language_means(vectors: DataFrame, rare: np.ndarray) -> tuple[list[str | No
     languages = sorted(many, key=lambda name: (name is not None, name))
     number = {name: at for at, name in enumerate(languages)}
     means = np.zeros((len(languages), PLACES))
-    found = _added(vectors.mapInPandas(summed, "lang string, place int, n long"), "lang", "place")
+    found = _added(_over(vectors, summed, "lang string, place int, n long"), "lang", "place")
     own = [number[None if pd.isna(name) else name] for name in found["lang"]]
     means[own, found["place"].to_numpy(int)] = found["n"].astype(float) / FIXED
     return languages, means / np.array([[many[name]] for name in languages])
@@ -209,29 +265,29 @@ def _units(vectors: DataFrame, languages: list[str | None], means: np.ndarray, r
     number = {language: at for at, language in enumerate(languages)}
     lengths = (means * means).sum(axis=1)
 
-    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _frames(frames):
+    def of(frames: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
             rows, places, values = _unit(frame["at"], frame["n"], rare)
             values = values.astype("<f4")
-            own = np.array([number[None if pd.isna(name) else name] for name in frame["lang"]], np.int64)
+            own = np.array([number[name] for name in frame["lang"].to_pylist()], np.int64)
             exact = values.astype(np.float64)
-            square = np.bincount(rows, exact * (exact - 2 * means[own[rows], places]), len(frame)) + lengths[own]
-            ends = np.cumsum(np.bincount(rows, minlength=len(frame)))
+            square = np.bincount(rows, exact * (exact - 2 * means[own[rows], places]), frame.num_rows) + lengths[own]
+            ends = np.cumsum(np.bincount(rows, minlength=frame.num_rows))
             yield pd.DataFrame({
-                "own": own, "at": frame["at"], "value": [values[i:j].tobytes() for i, j in zip([0, *ends[:-1]], ends)],
+                "own": own, "at": frame["at"].to_pylist(), "value": [values[i:j].tobytes() for i, j in zip([0, *ends[:-1]], ends)],
                 "size": np.round(np.sqrt(np.maximum(square, 0)), 9),
             })
 
-    return stored(vectors.mapInPandas(of, "own int, at binary, value binary, size double"), "units")
+    return stored(_over(vectors, of, "own int, at binary, value binary, size double"), "units")
 
 
-def _parted(frame: pd.DataFrame, others: np.ndarray, apart: np.ndarray):
+def _parted(frame: pa.RecordBatch, others: np.ndarray, apart: np.ndarray):
     """A batch's (row, place, value), languages, sizes, and products of what is left of each vector
     without its language's mean, at length one, with others. Of one at the mean nothing is left."""
     rows, places, values = _spread(frame["at"], frame["value"])
-    own, size = frame["own"].to_numpy(np.int64), frame["size"].to_numpy(float)
+    own, size = frame["own"].to_numpy().astype(np.int64), frame["size"].to_numpy()
     left = np.where(size > AT_MEAN, 1 / np.maximum(size, AT_MEAN), 0.0)
-    near = (_near(rows, places, values, len(frame), others) - apart[own]) * left[:, None]
+    near = (_near(rows, places, values, frame.num_rows, others) - apart[own]) * left[:, None]
     return rows, places, values, own, left, near
 
 
@@ -239,17 +295,17 @@ def _farthest(units: DataFrame, means: np.ndarray, chosen: np.ndarray):
     """The vector whose nearest of those chosen is farthest: (own, at, value, size)."""
     apart = means @ chosen.T
 
-    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def best(frames: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         least = None
-        for frame in _frames(frames):
+        for frame in frames:
             near = np.round(_parted(frame, chosen, apart)[-1].max(axis=1), 9)
-            some = frame[near == near.min()]
-            one = min(zip([near.min()] * len(some), some["own"], some["at"], some["value"], some["size"]))
+            some = frame.filter(pa.array(near == near.min())).to_pylist()
+            one = min((near.min(), row["own"], row["at"], row["value"], row["size"]) for row in some)
             least = one if least is None else min(least, one)
         if least is not None:
             yield pd.DataFrame([least], columns=["near", "own", "at", "value", "size"])
 
-    found = units.mapInPandas(best, "near double, own int, at binary, value binary, size double")
+    found = _over(units, best, "near double, own int, at binary, value binary, size double")
     return found.orderBy("near", "own", "at", "value").first()
 
 
@@ -257,7 +313,7 @@ def _centres(units: DataFrame, means: np.ndarray, number: int) -> np.ndarray:
     """Spherical k-means over all units: a step is one job, which adds up exact whole numbers."""
     def point(row) -> np.ndarray:
         out = -means[row.own]
-        _, places, values = _spread([row.at], [row.value])
+        _, places, values = _spread(pa.array([bytes(row.at)]), pa.array([bytes(row.value)]))
         out[places] += values
         return out / row.size if row.size > AT_MEAN else np.zeros(PLACES)
 
@@ -269,10 +325,10 @@ def _centres(units: DataFrame, means: np.ndarray, number: int) -> np.ndarray:
     for _ in range(STEPS):
         apart = means @ centres.T
 
-        def summed(frames: Iterator[pd.DataFrame], centres=centres, apart=apart) -> Iterator[pd.DataFrame]:
+        def summed(frames: Iterator[pa.RecordBatch], centres=centres, apart=apart) -> Iterator[pd.DataFrame]:
             # Of each centre the sums of the vectors, and for each language what they lack of its mean.
             sums, shares = np.zeros(number * PLACES, np.int64), np.zeros(number * languages, np.int64)
-            for frame in _frames(frames):
+            for frame in frames:
                 rows, places, values, own, left, near = _parted(frame, centres, apart)
                 to = _first_largest(near)
                 got = np.bincount(to[rows] * PLACES + places, np.rint(values * left[rows] * FIXED), len(sums))
@@ -282,7 +338,7 @@ def _centres(units: DataFrame, means: np.ndarray, number: int) -> np.ndarray:
                 at = np.flatnonzero(found)
                 yield pd.DataFrame({"kind": kind, "centre": at // width, "place": at % width, "n": found[at]})
 
-        found = _added(units.mapInPandas(summed, "kind string, centre int, place int, n long"), "kind", "centre", "place")
+        found = _added(_over(units, summed, "kind string, centre int, place int, n long"), "kind", "centre", "place")
         parts = {"sum": np.zeros((number, PLACES)), "share": np.zeros((number, languages))}
         for kind, into in parts.items():
             of = found[found["kind"] == kind]

@@ -1,13 +1,15 @@
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.brute import raked as brute
 from tests.llm.brute import uniform
 
-from haulgrid.llm.mixing import PLACES, fit_topics, fitted, goals, mixture, raked, with_topics
+from haulgrid.llm.mixing import PLACES, Places, _added, _spread, fit_topics, fitted, goals, mixture, raked, with_topics
 
 KINDS = "doc_id long, text_hash long, source string, lang string, topic string, tokens long, weight string"
 
@@ -202,3 +204,35 @@ def test_topics_are_fitted_on_all_distinct_texts(spark):
     assert np.allclose(topics.centres, centres, atol=1e-4)
     again = fit_topics(docs.repartition(7), topics=4)
     assert np.array_equal(again.centres, topics.centres)
+
+
+def test_places_of_words_are_those_of_the_whole_text():
+    random = np.random.default_rng(3)
+    letters = list("abXYéÉÀßİıΣσςſK9_.'-|+ \t\n\x0b\x0c\xa0\x1c 字́ǅ²½") + ["ab", "don't", " The ", "a-b "]
+    texts = ["".join(random.choice(letters, int(random.integers(0, 60)))) for _ in range(3000)]
+    places = Places()
+    for text in [*texts, "", " ", "x" * 100, "é" * 100, *texts[:100]]:
+        wanted = Counter(zlib.crc32(word.encode()) % PLACES for word in re.findall(r"[^\W\d_]+", text.lower()))
+        tokens, at, times = places.counted(text)
+        assert tokens == len(text.encode().split())
+        assert dict(zip(at.tolist(), times.tolist())) == wanted and at.tolist() == sorted(wanted)
+    assert max(map(len, places)) <= 40
+
+
+def test_vectors_are_read_where_arrow_holds_them():
+    cells = [np.arange(n, n + n, dtype="<u2").tobytes() for n in (3, 0, 1, 4, 2)]
+    values = [np.arange(n, dtype="<f4").tobytes() for n in (3, 0, 1, 4, 2)]
+    for kind in (pa.binary(), pa.large_binary()):
+        at, n = pa.array(cells, kind), pa.array(values, kind)
+        for begin, number in ((0, 5), (2, 2), (1, 1), (5, 0)):
+            rows, places, numbers = _spread(at.slice(begin, number), n.slice(begin, number))
+            sizes = (3, 0, 1, 4, 2)[begin: begin + number]
+            assert rows.tolist() == [i for i, size in enumerate(sizes) for _ in range(size)]
+            assert places.tolist() == [size + i for size in sizes for i in range(size)]
+            assert numbers.tolist() == [i for size in sizes for i in range(size)]
+
+
+def test_sums_of_whole_numbers_are_exact(spark):
+    rows = [("a", 1 << 62), ("a", 1 << 62), ("a", 1 << 62), ("a", 3), ("b", -(1 << 62)), ("b", -(1 << 62) - 5), ("b", -(1 << 62)), ("c", -1)]
+    found = _added(spark.createDataFrame(rows, "key string, n long"), "key")
+    assert dict(zip(found["key"], found["n"])) == {"a": 3 * (1 << 62) + 3, "b": -3 * (1 << 62) - 5, "c": -1}
