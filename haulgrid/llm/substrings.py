@@ -284,7 +284,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, **options) -> DataFra
             out.append((len(words), int(covered.sum()), spans, b" ".join(kept).decode()))
         return pd.DataFrame(out, columns=["n_words", "n_removed", "spans", "kept"])
 
-    out = joined.withColumn(f"{free}_out", removed(F.col("text").cast("string"), f"{free}_starts"))
+    # Called so, Spark does not cut a second time for a filter on what was counted.
+    once = removed.asNondeterministic()
+    out = joined.withColumn(f"{free}_out", once(F.col("text").cast("string"), f"{free}_starts"))
     return out.select(*mine, f"{free}_out.*")
 
 

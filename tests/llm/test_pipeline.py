@@ -105,3 +105,12 @@ def test_other_columns_pass_whatever_their_names(spark):
         rows = found.collect()
         assert rows and {row.doc_id for row in rows} <= seen
         assert all(row[name] == f"{name} {row.doc_id}" for row in rows for name in names)
+
+
+def test_passages_are_cut_once_a_row(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words, "a"), (2, words, "b"), (3, "x " + words, "c")], "doc_id long, text string, source string")
+    found = corpus_pipeline.without_repeated_passages(spark, docs, "")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == [(1, words), (3, "x")]
