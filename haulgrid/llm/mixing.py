@@ -32,6 +32,8 @@ TOPICS = 7
 PLACES = 1024
 KEPT_WORDS = 100_000
 KEPT_BYTES = 40
+#: Bytes of short texts that are taken apart together, each text counting as at least a thousand more; a longer one is taken by itself.
+TOGETHER = 1 << 18
 STEPS = 20
 #: Rows whose vectors a task spreads out at a time.
 AT_ONCE = 500
@@ -58,6 +60,21 @@ HERE = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 #: ASCII marks and digits, which are in no word.
 _MARKS = (string.punctuation + string.digits).encode()
+#: What a byte of UTF-8 is, and its lower case. Letters are those of ASCII and of U+00C0 to U+00FF: 0xC3 and a byte from
+#: 0x80 on, without the two signs among them; all else beyond ASCII is strange.
+_BLANK, _MARK, _LETTER, _STRANGE = range(4)
+_LATIN = bytes({0xC3, *range(0x80, 0xC0)} - {0x97, 0xB7})
+_KINDS = bytes(
+    _BLANK if byte in string.whitespace.encode() else _LETTER if byte in string.ascii_letters.encode() + _LATIN
+    else _MARK if byte < 0x80 else _STRANGE for byte in range(256)
+)
+_LOWER = bytes(byte + 32 if byte in string.ascii_uppercase.encode() or 0x80 <= byte < 0x9F else byte for byte in range(256))
+#: The crc32 of as many zeros, and what a byte adds to it (by exclusive or) if so many bytes begin with it.
+_ZEROS = np.array([zlib.crc32(bytes(n)) % PLACES for n in range(KEPT_BYTES + 1)], np.uint16)
+_ADDS = np.array([
+    [(zlib.crc32(bytes([byte]) + bytes(n - 1)) ^ zlib.crc32(bytes(n))) % PLACES if n else 0 for byte in range(256)]
+    for n in range(KEPT_BYTES + 1)
+], np.uint16).ravel()
 
 
 class Places(dict):
@@ -95,6 +112,62 @@ class Places(dict):
         return len(tokens), at, times[at]
 
 
+def _counted_together(texts: list[bytes], places: Places) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts what ``Places.counted`` finds of each: how many tokens and places each has, then the places and
+    times of all. Words are found and placed together, but those of long tokens and of tokens with strange letters."""
+    raw = b"\n".join([b"", *texts, b""])
+    kinds, lower = (np.frombuffer(raw.translate(to), np.uint8) for to in (_KINDS, _LOWER))
+    bounds = np.cumsum([1, *[len(text) + 1 for text in texts]])
+    blank = kinds == _BLANK
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    begins, ends = edges[::2], edges[1::2]
+    odd = ends - begins > KEPT_BYTES
+    odd[np.searchsorted(begins, np.flatnonzero(kinds == _STRANGE), "right") - 1] = True
+
+    letters, keys = kinds == _LETTER, []
+    rows = np.searchsorted(bounds, begins[odd], "right") - 1
+    for row, begin, end in zip((rows * PLACES).tolist(), begins[odd].tolist(), ends[odd].tolist()):
+        letters[begin:end] = False
+        place = places[raw[begin:end]]
+        if place < PLACES:
+            keys.append(row + place)
+        elif places.more:
+            keys += [row + one for one in places.more]
+            places.more = []
+
+    edges = np.flatnonzero(letters[1:] != letters[:-1]) + 1
+    words, sizes = edges[::2], np.diff(edges)[::2]
+    if len(words):
+        # crc32 is linear: a word's is that of as many zeros, and what each byte adds by its distance from the end.
+        upto = np.cumsum(sizes)
+        left = np.repeat(upto, sizes) - np.arange(upto[-1])
+        found = np.bitwise_xor.reduceat(_ADDS[left * 256 + lower[letters]], upto - sizes) ^ _ZEROS[sizes]
+        rows = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(words, bounds)))
+        keys = np.append(rows * PLACES + found, np.array(keys, np.int64))
+    times = np.bincount(np.asarray(keys, np.int64), minlength=len(texts) * PLACES)
+    at = np.flatnonzero(times)
+    return np.diff(np.searchsorted(begins, bounds)), np.bincount(at // PLACES, minlength=len(texts)), at % PLACES, times[at]
+
+
+def _counted(texts: list[bytes], places: Places) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``_counted_together`` of any texts, a bounded part of them at a time."""
+    parts, some, size = [], [], 0
+    for text in [*texts, None]:
+        if some and (text is None or size + len(text) + PLACES > TOGETHER):
+            if len(places) > KEPT_WORDS:
+                places.clear()
+            if size <= TOGETHER:
+                parts.append(_counted_together(some, places))
+            else:
+                tokens, at, times = places.counted(some[0].decode())
+                parts.append((np.array([tokens]), np.array([len(at)]), at, times))
+            some, size = [], 0
+        if text is not None:
+            some.append(text)
+            size += len(text) + PLACES
+    return tuple(np.concatenate(one) for one in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 4
+
+
 class Topics:
     """Clusters of texts by the words that set them apart from others in their language."""
 
@@ -131,13 +204,11 @@ def with_words(docs: DataFrame, *carried: Column) -> DataFrame:
     """
     places = Places()
 
-    @F.pandas_udf("tokens long, at binary, n binary")
-    def counted(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts:
-            tokens, at, times = places.counted(text or "")
-            out.append((tokens, at.astype("<u2").tobytes(), np.sqrt(times).astype("<f4").tobytes()))
-        return pd.DataFrame(out, columns=["tokens", "at", "n"])
+    @F.arrow_udf("tokens long, at binary, n binary")
+    def counted(texts: pa.Array) -> pa.Array:
+        tokens, sizes, at, times = _counted([text or b"" for text in texts.cast(pa.binary()).to_pylist()], places)
+        cells = _cells(at.astype("<u2"), sizes), _cells(np.sqrt(times).astype("<f4"), sizes)
+        return pa.StructArray.from_arrays([pa.array(tokens, pa.int64()), *cells], ["tokens", "at", "n"])
 
     text = F.col("text").cast("string")
     rows = docs.select(
@@ -148,6 +219,12 @@ def with_words(docs: DataFrame, *carried: Column) -> DataFrame:
     return stored(rows.select("*", "_counted.*").drop("_counted"), "words")
 
 
+def _cells(numbers: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary cells that hold so many of the numbers each, one after the other."""
+    ends = np.append(0, np.cumsum(sizes * numbers.itemsize)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(numbers)])
+
+
 def _joined(cells: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all binary cells one after the other, and how many each has; none is NULL."""
     _, ends, data = cells.buffers()

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tests.llm.brute import raked as brute
 from tests.llm.brute import uniform
 
-from haulgrid.llm.mixing import PLACES, Places, _added, _spread, fit_topics, fitted, goals, mixture, raked, with_topics
+from haulgrid.llm.mixing import (
+    PLACES, TOGETHER, Places, _added, _counted, _spread, fit_topics, fitted, goals, mixture, raked, with_topics,
+)
 
 KINDS = "doc_id long, text_hash long, source string, lang string, topic string, tokens long, weight string"
 
@@ -219,6 +221,26 @@ def test_places_of_words_are_those_of_the_whole_text():
     assert max(map(len, places)) <= 40
 
 
+def test_words_of_texts_taken_together_are_those_of_each():
+    random = np.random.default_rng(4)
+    strange = [*"abXYéÉÀßİıΣσςſK9_.'-|+ \t\n\x0b\x0c\xa0\x1c\x85 字́ǅ²½×÷ÿŸªµº\x00", "don't", " The ", "y" * 40, "z" * 41, "É" * 20 + " ", "é" * 21]
+    latin = [*"aZ09ÀÖØÞßàöøþÿ.,- \n"]
+    texts = ["".join(random.choice(strange if i % 2 else latin, int(random.integers(0, 60)))) for i in range(2000)]
+    texts += ["", " ", "é", "Straße" * 5, "字 " * TOGETHER, "ab é " * TOGETHER, "x" * 2 * TOGETHER, ""]
+    tokens, sizes, at, times = _counted([text.encode() for text in texts], Places())
+    assert tokens.tolist() == [len(text.encode().split()) for text in texts]
+    ends = np.cumsum(sizes)
+    for text, begin, end in zip(texts, ends - sizes, ends):
+        wanted = Counter(zlib.crc32(word.encode()) % PLACES for word in re.findall(r"[^\W\d_]+", text.lower()))
+        assert dict(zip(at[begin:end].tolist(), times[begin:end].tolist())) == wanted
+        assert at[begin:end].tolist() == sorted(wanted)
+    assert [one.tolist() for one in _counted([], Places())] == [[]] * 4
+
+    places = Places()  # only what is neither ASCII nor Latin, or is long, is looked up by itself
+    _counted([text.encode() for text in texts[:2000:2]], places)
+    assert not places
+
+
 def test_vectors_are_read_where_arrow_holds_them():
     cells = [np.arange(n, n + n, dtype="<u2").tobytes() for n in (3, 0, 1, 4, 2)]
     values = [np.arange(n, dtype="<f4").tobytes() for n in (3, 0, 1, 4, 2)]
