@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -261,33 +261,50 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, **options) -> DataFra
     carried = docs.select(*mine).withColumns({
         f"{free}_id": F.col("doc_id").cast("long"), f"{free}_hash": F.xxhash64(F.col("text").cast("string"))
     })
+
+    @F.pandas_udf("array<struct<from:int,to:int>>")
+    def joined_windows(places: pd.Series) -> pd.Series:
+        out = []
+        for at in places:
+            at = np.unique(at)
+            apart = np.flatnonzero(np.diff(at) > window)
+            begins, ends = at[np.append(0, apart + 1)], at[np.append(apart, len(at) - 1)] + window
+            out.append([{"from": int(i), "to": int(j)} for i, j in zip(begins, ends)])
+        return pd.Series(out)
+
+    # Texts stay in Spark: only places go to Python, before they meet the texts.
     marked = starts.select(
         F.col("doc_id").alias(f"{free}_id"), F.col("text_hash").alias(f"{free}_hash"),
-        F.col("starts").alias(f"{free}_starts"),
+        joined_windows("starts").alias(f"{free}_spans"),
+    )
+    none = F.array().cast("array<struct<from:int,to:int>>")
+    spans, words = F.col(f"{free}_spans"), F.col(f"{free}_words")
+    rows = (
+        carried.join(marked, [f"{free}_id", f"{free}_hash"], "left")
+        .select(*mine, F.coalesce(spans, none).alias(f"{free}_spans"))
+        .withColumn(f"{free}_words", _words(F.col("text").cast("string")))
+    )
+    return rows.select(
+        *mine, F.size(words).cast("long").alias("n_words"),
+        F.aggregate(spans, F.lit(0).cast("long"), lambda sum_, span: sum_ + span["to"] - span["from"]).alias("n_removed"),
+        spans.alias("spans"), F.array_join(_outside(words, spans), " ").alias("kept"),
     )
-    joined = carried.join(marked, [f"{free}_id", f"{free}_hash"], "left").select(*mine, f"{free}_starts")
 
-    @F.pandas_udf("n_words long, n_removed long, spans array<struct<from:int,to:int>>, kept string")
-    def removed(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
-        out = []
-        for text, at in zip(texts, places):
-            words = _split(text)
-            gone = np.zeros(len(words) + 1, np.int64)
-            if at is not None and len(at):
-                at = np.asarray(at, np.int64)
-                np.add.at(gone, at, 1)
-                np.add.at(gone, at + window, -1)
-            covered = np.cumsum(gone)[:-1] > 0
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], covered, [0]))))
-            spans = [{"from": int(i), "to": int(j)} for i, j in edges.reshape(-1, 2)]
-            kept = [word for word, out_ in zip(words, covered) if not out_] if spans else words
-            out.append((len(words), int(covered.sum()), spans, b" ".join(kept).decode()))
-        return pd.DataFrame(out, columns=["n_words", "n_removed", "spans", "kept"])
-
-    # Called so, Spark does not cut a second time for a filter on what was counted.
-    once = removed.asNondeterministic()
-    out = joined.withColumn(f"{free}_out", once(F.col("text").cast("string"), f"{free}_starts"))
-    return out.select(*mine, f"{free}_out.*")
+
+def _words(text: Column) -> Column:
+    """What ASCII blanks separate, as ``_split`` has it; none if the text is NULL."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+
+
+def _outside(words: Column, spans: Column) -> Column:
+    """The words that lie in none of the spans, which are in order and apart."""
+    def between(at: Column) -> Column:
+        begin = F.when(at == 0, 0).otherwise(F.get(spans, at - 1)["to"])
+        end = F.when(at == F.size(spans), F.size(words)).otherwise(F.get(spans, at)["from"])
+        return F.slice(words, begin + 1, end - begin)
+
+    cut = F.flatten(F.transform(F.sequence(F.lit(0), F.size(spans)), between))
+    return F.when(F.size(spans) > 0, cut).otherwise(words)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,3 +81,15 @@ def test_least_document_of_every_window():
         for text, row in zip(texts, found):
             words = text.split()
             assert list(row) == [least[tuple(words[i:i + depth])] for i in range(len(words) - depth + 1)]
+
+
+def test_texts_are_cut_without_going_to_python(spark):
+    passage = "p q r s"
+    texts = [passage, f" \x0b{passage}\x1c\t{passage}   x{passage} \n", f"a {passage} {passage} b\x85", "  ", None]
+    rows = list(enumerate(texts))
+    found = without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 3, gram=2)
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in found.collect()]
+    assert sorted(got) == sorted(brute(rows, 3))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    calls = [line for line in plan if "EvalPython" in line]
+    assert calls and not any("text#" in line for line in calls)
